@@ -15,6 +15,6 @@ SNAPSHOT_AS_OF = "1998-07-01"  # stamp of catalogue / storage / replica snapshot
 POPULARITY_AS_OF = "1998-07-01"
 POPULARITY_DAYS = 365
 POPULARITY_MIN_TASKS = 10
-LATENCY_AS_OF = "2024-01-15"
+LATENCY_AS_OF = "2024-01-31"
 LATENCY_DAYS = 1
 LATENCY_LABEL = "user"

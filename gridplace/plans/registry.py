@@ -11,14 +11,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gridplace.operators import catalogue as C
 from gridplace.operators import jobs as J
+from gridplace.operators import latency as L
+from gridplace.operators import popularity as POP
 from gridplace.operators import queues as Q
+from gridplace.operators import replicas as R
+from gridplace.operators import shares as S
+from gridplace.operators import topology as T
 from gridplace.plans import params as P
+from gridplace.sources.nested import parse_queue_catalogue, parse_storage_json
 from gridplace.sources.testdata import TestTables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 OCC_TABLES = ("jobs_active", "jobs_defined")
+ALL_TABLES = ("jobs_active", "jobs_defined", "jobs_archived4", "jobs_archived")
 
 
 def _occ_counts(tt: TestTables, as_of=P.JOBS_AS_OF, n_days=P.JOBS_DAYS, label=None) -> DataFrame:
@@ -51,12 +59,100 @@ def q_queues_metrics(spark, sf_dir):
     return _metrics(TestTables(spark, sf_dir))
 
 
+def _shares(tt: TestTables) -> DataFrame:
+    return S.job_shares_report(tt.jobs(*ALL_TABLES), P.JOBS_AS_OF, P.SHARES_DAYS, label=P.SHARES_LABEL)
+
+
+def _queues(tt: TestTables) -> DataFrame:
+    return parse_queue_catalogue(tt.catalogue_json)
+
+
+def q_job_shares(spark, sf_dir):
+    return _shares(TestTables(spark, sf_dir))
+
+
+def q_queue_shares(spark, sf_dir):
+    tt = TestTables(spark, sf_dir)
+    eligible = C.eligible_queues(_queues(tt), P.SNAPSHOT_AS_OF, with_resources=False)
+    return S.queue_shares(_shares(tt), eligible, P.SNAPSHOT_AS_OF)
+
+
+def q_eligible_queues(spark, sf_dir):
+    return C.eligible_queues(_queues(TestTables(spark, sf_dir)), P.SNAPSHOT_AS_OF)
+
+
+def q_queue_site_rse(spark, sf_dir):
+    return C.queue_site_rse(_queues(TestTables(spark, sf_dir)), P.SNAPSHOT_AS_OF)
+
+
+def q_storage_info(spark, sf_dir):
+    return C.storage_info(parse_storage_json(TestTables(spark, sf_dir).storage_json), P.SNAPSHOT_AS_OF)
+
+
+def q_rse_topology(spark, sf_dir):
+    tt = TestTables(spark, sf_dir)
+    return T.rse_topology(tt.attrs, tt.rses)
+
+
+def q_rse_free_space(spark, sf_dir):
+    tt = TestTables(spark, sf_dir)
+    return T.rse_free_space(tt.usage, tt.attrs, tt.rses, P.SNAPSHOT_AS_OF)
+
+
+def q_rse_activities(spark, sf_dir):
+    tt = TestTables(spark, sf_dir)
+    return T.rse_activities(tt.requests, tt.attrs, tt.rses)
+
+
+def q_rse_distances(spark, sf_dir):
+    tt = TestTables(spark, sf_dir)
+    return T.rse_distances(tt.distances, tt.attrs, tt.rses, P.SNAPSHOT_AS_OF)
+
+
+def q_replica_locations(spark, sf_dir):
+    tt = TestTables(spark, sf_dir)
+    return T.replica_locations(tt.collection_replicas, tt.attrs, tt.rses)
+
+
+def _replicas(tt: TestTables) -> DataFrame:
+    return R.dataset_replicas(tt.replica_records, tt.rule_history, tt.rule_details, tt.attrs, tt.rses, P.SNAPSHOT_AS_OF)
+
+
+def q_dataset_replicas(spark, sf_dir):
+    return _replicas(TestTables(spark, sf_dir))
+
+
+def q_dataset_popularity(spark, sf_dir):
+    tt = TestTables(spark, sf_dir)
+    return POP.dataset_popularity(
+        tt.tasks, tt.task_datasets, P.POPULARITY_AS_OF, P.POPULARITY_DAYS, P.POPULARITY_MIN_TASKS
+    )
+
+
+def q_queueing_time(spark, sf_dir):
+    tt = TestTables(spark, sf_dir)
+    return L.queueing_time(tt.status_log, tt.active_jobs, P.LATENCY_AS_OF, P.LATENCY_DAYS, P.LATENCY_LABEL)
+
+
 QUERIES: dict[str, Query] = {
     "job_status_counts": q_job_status_counts,
     "queue_occupancy": q_queue_occupancy,
     "queue_occupancy_unsaturated": q_queue_occupancy_unsaturated,
     "queue_efficiency": q_queue_efficiency,
     "queues_metrics": q_queues_metrics,
+    "job_shares": q_job_shares,
+    "queue_shares": q_queue_shares,
+    "eligible_queues": q_eligible_queues,
+    "queue_site_rse": q_queue_site_rse,
+    "storage_info": q_storage_info,
+    "rse_topology": q_rse_topology,
+    "rse_free_space": q_rse_free_space,
+    "rse_activities": q_rse_activities,
+    "rse_distances": q_rse_distances,
+    "replica_locations": q_replica_locations,
+    "dataset_replicas": q_dataset_replicas,
+    "dataset_popularity": q_dataset_popularity,
+    "queueing_time": q_queueing_time,
 }
 
 
