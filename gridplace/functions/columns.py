@@ -114,14 +114,26 @@ def oracle_least(*cols: str | Column) -> Column:
     return F.when(_any_null(cs), F.lit(None)).otherwise(F.least(*cs))
 
 
+# Rounding goes through DECIMAL(38,12): two plans that compute the same
+# quantity with a different summation order can differ in the last bit of a
+# double, and a value that sits on a rounding tie would then round two ways.
+# Twelve decimals absorb that noise; beyond 1e20 the double is rounded as is.
+_DECIMAL_SAFE = 1e20
+
+
+def _decimal_round(c: Column, scale: int, fn) -> Column:
+    exact = fn(c.cast("decimal(38,12)"), scale).cast("double")
+    return F.when(F.abs(c) < _DECIMAL_SAFE, exact).otherwise(fn(c.cast("double"), scale))
+
+
 def sql_round(c: str | Column, scale: int) -> Column:
     """SQL ``ROUND`` (half away from zero)."""
-    return F.round(col(c), scale)
+    return _decimal_round(col(c), scale, F.round)
 
 
 def pandas_round(c: str | Column, scale: int) -> Column:
     """pandas/numpy ``round`` (half to even)."""
-    return F.bround(col(c), scale)
+    return _decimal_round(col(c), scale, F.bround)
 
 
 def falsy_default(c: str | Column, default) -> Column:

@@ -11,12 +11,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gridplace.operators import candidates as CA
 from gridplace.operators import catalogue as C
 from gridplace.operators import jobs as J
 from gridplace.operators import latency as L
 from gridplace.operators import popularity as POP
 from gridplace.operators import queues as Q
 from gridplace.operators import replicas as R
+from gridplace.operators import scoring as SC
 from gridplace.operators import shares as S
 from gridplace.operators import topology as T
 from gridplace.plans import params as P
@@ -134,6 +136,45 @@ def q_queueing_time(spark, sf_dir):
     return L.queueing_time(tt.status_log, tt.active_jobs, P.LATENCY_AS_OF, P.LATENCY_DAYS, P.LATENCY_LABEL)
 
 
+def _candidates(tt: TestTables) -> DataFrame:
+    queues = C.eligible_queues(_queues(tt), P.SNAPSHOT_AS_OF)
+    storage = C.storage_info(parse_storage_json(tt.storage_json), P.SNAPSHOT_AS_OF)
+    return CA.merged_candidates(queues, _metrics(tt, P.JOBS_AS_OF, P.SCORING_DAYS), storage)
+
+
+def _distances(tt: TestTables) -> DataFrame:
+    return T.rse_distances(tt.distances, tt.attrs, tt.rses, P.SNAPSHOT_AS_OF)
+
+
+def _closeness(tt: TestTables) -> DataFrame:
+    return CA.closeness(_candidates(tt), _distances(tt), CA.official_sources(_replicas(tt)))
+
+
+def q_merged_candidates(spark, sf_dir):
+    return _candidates(TestTables(spark, sf_dir))
+
+
+def q_closeness(spark, sf_dir):
+    return _closeness(TestTables(spark, sf_dir)).select(
+        "source_replica", "queue", "rse", "site", "distance_from_source", "closeness"
+    )
+
+
+def q_mean_range_normalise(spark, sf_dir):
+    cl = _closeness(TestTables(spark, sf_dir)).select("source_replica", "queue", "rse", *SC.CANDIDATE_METRICS)
+    return SC.mean_range_normalise(cl, ["source_replica"], SC.CANDIDATE_METRICS)
+
+
+def q_rse_weight(spark, sf_dir):
+    tt = TestTables(spark, sf_dir)
+    return SC.rse_weight(_candidates(tt), _distances(tt), _replicas(tt), level="queue")
+
+
+def q_rse_weight_by_rse(spark, sf_dir):
+    tt = TestTables(spark, sf_dir)
+    return SC.rse_weight(_candidates(tt), _distances(tt), _replicas(tt), level="rse")
+
+
 QUERIES: dict[str, Query] = {
     "job_status_counts": q_job_status_counts,
     "queue_occupancy": q_queue_occupancy,
@@ -153,6 +194,11 @@ QUERIES: dict[str, Query] = {
     "dataset_replicas": q_dataset_replicas,
     "dataset_popularity": q_dataset_popularity,
     "queueing_time": q_queueing_time,
+    "merged_candidates": q_merged_candidates,
+    "closeness": q_closeness,
+    "mean_range_normalise": q_mean_range_normalise,
+    "rse_weight": q_rse_weight,
+    "rse_weight_by_rse": q_rse_weight_by_rse,
 }
 
 
