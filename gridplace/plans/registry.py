@@ -22,6 +22,7 @@ from gridplace.operators import scoring as SC
 from gridplace.operators import shares as S
 from gridplace.operators import topology as T
 from gridplace.plans import params as P
+from gridplace.session import cut_lineage
 from gridplace.sources.nested import parse_queue_catalogue, parse_storage_json
 from gridplace.sources.testdata import TestTables
 
@@ -146,7 +147,21 @@ def _distances(tt: TestTables) -> DataFrame:
     return T.rse_distances(tt.distances, tt.attrs, tt.rses, P.SNAPSHOT_AS_OF)
 
 
+def _scoring_inputs(tt: TestTables) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The three snapshot tables the scoring reads (merged candidates,
+    distance report, replica snapshot), written once to the checkpoint
+    folder.  In the reference they are files written by separate jobs; here
+    the write cuts the lineage so the scoring plan reads compact tables
+    instead of re-deriving them in every branch that uses them."""
+    return (
+        cut_lineage(_candidates(tt)),
+        cut_lineage(_distances(tt).select("source", "dest", "agis_distance")),
+        cut_lineage(_replicas(tt).select("scope", "name", "rse", "official", "TB", "available_TB")),
+    )
+
+
 def _closeness(tt: TestTables) -> DataFrame:
+    """Each input is read once here, so nothing is materialised."""
     return CA.closeness(_candidates(tt), _distances(tt), CA.official_sources(_replicas(tt)))
 
 
@@ -166,13 +181,11 @@ def q_mean_range_normalise(spark, sf_dir):
 
 
 def q_rse_weight(spark, sf_dir):
-    tt = TestTables(spark, sf_dir)
-    return SC.rse_weight(_candidates(tt), _distances(tt), _replicas(tt), level="queue")
+    return SC.rse_weight(*_scoring_inputs(TestTables(spark, sf_dir)), level="queue")
 
 
 def q_rse_weight_by_rse(spark, sf_dir):
-    tt = TestTables(spark, sf_dir)
-    return SC.rse_weight(_candidates(tt), _distances(tt), _replicas(tt), level="rse")
+    return SC.rse_weight(*_scoring_inputs(TestTables(spark, sf_dir)), level="rse")
 
 
 QUERIES: dict[str, Query] = {
