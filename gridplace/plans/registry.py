@@ -22,7 +22,7 @@ from gridplace.operators import scoring as SC
 from gridplace.operators import shares as S
 from gridplace.operators import topology as T
 from gridplace.plans import params as P
-from gridplace.session import cut_lineage
+from gridplace.session import materialize
 from gridplace.sources.nested import parse_queue_catalogue, parse_storage_json
 from gridplace.sources.testdata import TestTables
 
@@ -149,14 +149,14 @@ def _distances(tt: TestTables) -> DataFrame:
 
 def _scoring_inputs(tt: TestTables) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The three snapshot tables the scoring reads (merged candidates,
-    distance report, replica snapshot), written once to the checkpoint
-    folder.  In the reference they are files written by separate jobs; here
+    distance report, replica snapshot), written once as tables in the
+    checkpoint folder.  In the reference they are files written by separate jobs; here
     the write cuts the lineage so the scoring plan reads compact tables
     instead of re-deriving them in every branch that uses them."""
     return (
-        cut_lineage(_candidates(tt)),
-        cut_lineage(_distances(tt).select("source", "dest", "agis_distance")),
-        cut_lineage(_replicas(tt).select("scope", "name", "rse", "official", "TB", "available_TB")),
+        materialize(_candidates(tt), "merged_candidates"),
+        materialize(_distances(tt).select("source", "dest", "agis_distance"), "distances"),
+        materialize(_replicas(tt).select("scope", "name", "rse", "official", "TB", "available_TB"), "replicas"),
     )
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,3 +64,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into ``spark.checkpoint.dir`` (never localCheckpoint)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as a Parquet table under ``spark.checkpoint.dir`` and
+    read it back.
+
+    Unlike an eager ``checkpoint()``, which runs the plan once to count and
+    again to write, the plan runs once; the table survives executor loss,
+    cuts the lineage, and gives the planner real sizes for its join choices.
+    """
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/gridplace-tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
