@@ -12,8 +12,8 @@ Mapping (see README):
   rses / attrs    supplier x nation x region: one storage endpoint per supplier
   usage           supplier account balance as free bytes
   requests        lineitem x orders: one transfer request per line
-  distances       line pairs of an order (each line with the order's first
-                  line, both directions) plus every endpoint with itself
+  distances       each line's supplier with its order's hub supplier (both
+                  directions) plus every endpoint with itself
   replicas/rules  lineitem grouped by (part, supplier): one dataset per part
   tasks           orders; task inputs lineitem x part
   status log      events; active jobs customer x events
@@ -110,10 +110,14 @@ class TestTables:
         columns and reaches both Parquet scans.
         """
         tables = tables or tuple(TABLE_CODES)
-        li = self.raw("lineitem").select(
+        codes = [c for t in tables for c in TABLE_CODES[t]]
+        # implied single-column filters, so each scan is pruned before the join
+        li = self.raw("lineitem").filter(F.col("l_returnflag").isin(*sorted({c[1] for c in codes}))).select(
             "l_orderkey", "l_suppkey", "l_linenumber", "l_shipdate", "l_returnflag", "l_linestatus"
         )
-        o = self.raw("orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
+        o = self.raw("orders").filter(F.col("o_orderstatus").isin(*sorted({c[0] for c in codes}))).select(
+            "o_orderkey", "o_orderpriority", "o_orderstatus"
+        )
         j = li.join(o, li.l_orderkey == o.o_orderkey)
         code = F.concat(F.col("o_orderstatus"), F.col("l_returnflag"))
         member = None

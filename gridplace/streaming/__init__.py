@@ -1,0 +1,13 @@
+"""Streaming.
+
+The reports this library reproduces are one-shot batch jobs over a trailing
+window of job records; none of them keeps state between runs, uses event-time
+windows or watermarks, or handles late data.  There is therefore no
+Structured Streaming operator here.
+
+Every report takes an explicit ``as_of`` instead of reading the clock, so a
+scheduler (or a ``foreachBatch`` sink of a stream that lands new job records)
+can run a report for any point in time and write it with
+``gridplace.sources.sinks.write_snapshot``; re-running a day replaces only
+that day's partition.
+"""
