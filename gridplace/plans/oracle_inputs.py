@@ -70,7 +70,7 @@ UNION ALL SELECT s_suppkey, 'freespace', CAST(CAST(round(s_acctbal + 1000) AS BI
 
 INPUTS["usage"] = ((), f"""SELECT s_suppkey AS rse_id, 'storage' AS source,
        CAST(round((s_acctbal + 1000) * 100) AS BIGINT) * {USAGE_BYTES_FACTOR} AS free FROM supplier
-UNION ALL SELECT s_suppkey, 'rucio', CAST(0 AS BIGINT) FROM supplier""")
+UNION ALL SELECT s_suppkey, 'accounting', CAST(0 AS BIGINT) FROM supplier""")
 
 INPUTS["requests"] = ((), f"""SELECT l.l_suppkey AS dest_rse_id, o.o_orderpriority AS activity,
        CAST(round(l.l_extendedprice * 100) AS BIGINT) * {REQUEST_BYTES_FACTOR} AS bytes
@@ -105,7 +105,7 @@ FROM collection_replicas c JOIN rses r ON c.rse_id = r.rse_id""")
 INPUTS["rules_all"] = (("rses",), """SELECT 'r' || CAST(g.l_partkey AS VARCHAR) || '-' || CAST(g.l_suppkey AS VARCHAR) AS rule_id,
        'mc' AS scope, 'mc.' || CAST(g.l_partkey AS VARCHAR) AS name, r.rse AS rse_expression,
        g.created_at, g.updated_at, 'OK' AS state,
-       CASE WHEN g.first_line <= 1 THEN 'panda' ELSE 'user' END AS account,
+       CASE WHEN g.first_line <= 1 THEN 'production' ELSE 'user' END AS account,
        CASE WHEN g.first_line <= 1 THEN NULL ELSE g.updated_at END AS expires_at,
        CASE WHEN g.first_line <= 1 THEN 'Production Output' ELSE 'User Subscriptions' END AS activity
 FROM (SELECT l_partkey, l_suppkey, min(l_linenumber) AS first_line, min(l_shipdate) AS created_at,

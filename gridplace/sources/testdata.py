@@ -176,7 +176,7 @@ class TestTables:
         free = F.round((F.col("s_acctbal") + 1000) * 100).cast("bigint") * USAGE_BYTES_FACTOR
         pairs = F.array(
             F.struct(F.lit("storage").alias("source"), free.alias("free")),
-            F.struct(F.lit("rucio").alias("source"), F.lit(0).cast("bigint").alias("free")),
+            F.struct(F.lit("accounting").alias("source"), F.lit(0).cast("bigint").alias("free")),
         )
         return self.raw("supplier").select(F.col("s_suppkey").alias("rse_id"), F.inline(pairs))
 
@@ -290,7 +290,7 @@ class TestTables:
             "created_at",
             "updated_at",
             F.lit("OK").alias("state"),
-            F.when(official, F.lit("panda")).otherwise(F.lit("user")).alias("account"),
+            F.when(official, F.lit("production")).otherwise(F.lit("user")).alias("account"),
             F.when(official, F.lit(None)).otherwise(F.col("updated_at")).alias("expires_at"),
             F.when(official, F.lit("Production Output")).otherwise(F.lit("User Subscriptions")).alias("activity"),
         )
