@@ -8,6 +8,7 @@ them read whole tables; nothing is sampled or capped.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -153,11 +154,14 @@ def _scoring_inputs(tt: TestTables) -> tuple[DataFrame, DataFrame, DataFrame]:
     checkpoint folder.  In the reference they are files written by separate jobs; here
     the write cuts the lineage so the scoring plan reads compact tables
     instead of re-deriving them in every branch that uses them."""
-    return (
-        materialize(_candidates(tt), "merged_candidates"),
-        materialize(_distances(tt).select("source", "dest", "agis_distance"), "distances"),
-        materialize(_replicas(tt).select("scope", "name", "rse", "official", "TB", "available_TB"), "replicas"),
-    )
+    jobs = [
+        (_candidates(tt), "merged_candidates"),
+        (_distances(tt).select("source", "dest", "agis_distance"), "distances"),
+        (_replicas(tt).select("scope", "name", "rse", "official", "TB", "available_TB"), "replicas"),
+    ]
+    # three independent writes: submitted together so their stages share the cluster
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        return tuple(pool.map(lambda j: materialize(*j), jobs))
 
 
 def _closeness(tt: TestTables) -> DataFrame:
