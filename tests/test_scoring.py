@@ -168,3 +168,19 @@ def test_golden_suggestion(spark):
         for c in ["queue_efficiency", "queue_occupancy", "Difference", "Unlocked", "closeness",
                   "transferring_availability", "available_TB", "dataset_size_TB"]:
             assert getattr(mine, c) == pytest.approx(getattr(r, c)), (r.rse, c)
+
+
+def test_golden_efficiency_and_zero_occupancy(spark):
+    """The efficiency formula reproduces every row of the committed queue
+    metrics snapshot (counts not NVL'd: no failures -> 0)."""
+    from pyspark.sql import functions as F
+
+    from gridplace.operators.queues import efficiency_expr
+
+    m = read_snapshot(spark, os.path.join(FIXTURES, "queues_metrics.csv"), METRICS_SNAP)
+    got = m.select("queue", "queue_efficiency", efficiency_expr("finished", "failed").alias("mine")).collect()
+    assert len(got) == 112
+    assert all(r.mine == pytest.approx(r.queue_efficiency, abs=1e-12) for r in got)
+    # queues with nothing queued and occupancy 0 can only come from activated = 0 (NULL-propagating GREATEST)
+    zero = m.filter((F.col("queued") == 0) & (F.col("queue_occupancy") == 0)).count()
+    assert zero == 3
