@@ -184,3 +184,11 @@ def test_golden_efficiency_and_zero_occupancy(spark):
     # queues with nothing queued and occupancy 0 can only come from activated = 0 (NULL-propagating GREATEST)
     zero = m.filter((F.col("queued") == 0) & (F.col("queue_occupancy") == 0)).count()
     assert zero == 3
+
+
+@pytest.mark.parametrize("level", ["queue", "rse"])
+def test_salted_expansion_equals_broadcast(spark, level):
+    cand, dist, reps = spark_inputs(spark)
+    a = {tuple(r) for r in SC.rse_weight(cand, dist, reps, level=level).collect()}
+    b = {tuple(r) for r in SC.rse_weight(cand, dist, reps, level=level, max_broadcast_rows=0, salt_buckets=3).collect()}
+    assert a == b and len(a) > 0
