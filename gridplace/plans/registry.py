@@ -165,8 +165,8 @@ def _scoring_inputs(tt: TestTables) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 
 def _closeness(tt: TestTables) -> DataFrame:
-    """Each input is read once here, so nothing is materialised."""
-    return CA.closeness(_candidates(tt), _distances(tt), CA.official_sources(_replicas(tt)))
+    cand, dist, reps = _scoring_inputs(tt)
+    return CA.closeness(cand, dist, CA.official_sources(reps))
 
 
 def q_merged_candidates(spark, sf_dir):
