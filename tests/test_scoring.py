@@ -144,9 +144,9 @@ SOURCE = "TOKYO-LCG2_DATADISK"
 
 
 def test_golden_suggestion(spark):
-    queues = read_snapshot(spark, os.path.join(FIXTURES, "filtered.csv"), FILTERED)
-    metrics = read_snapshot(spark, os.path.join(FIXTURES, "queues_metrics.csv"), METRICS_SNAP)
-    storage = read_snapshot(spark, os.path.join(FIXTURES, "storage_info.csv"), STORAGE_SNAP)
+    queues = read_snapshot(spark, os.path.join(FIXTURES, "eligible_snapshot.csv"), FILTERED)
+    metrics = read_snapshot(spark, os.path.join(FIXTURES, "metrics_snapshot.csv"), METRICS_SNAP)
+    storage = read_snapshot(spark, os.path.join(FIXTURES, "storage_snapshot.csv"), STORAGE_SNAP)
     cand = CA.merged_candidates(queues, metrics, storage)
     assert cand.count() == 109
     golden = pd.read_csv(os.path.join(FIXTURES, "suggestion_golden.csv"), index_col=0)
@@ -177,7 +177,7 @@ def test_golden_efficiency_and_zero_occupancy(spark):
 
     from gridplace.operators.queues import efficiency_expr
 
-    m = read_snapshot(spark, os.path.join(FIXTURES, "queues_metrics.csv"), METRICS_SNAP)
+    m = read_snapshot(spark, os.path.join(FIXTURES, "metrics_snapshot.csv"), METRICS_SNAP)
     got = m.select("queue", "queue_efficiency", efficiency_expr("finished", "failed").alias("mine")).collect()
     assert len(got) == 112
     assert all(r.mine == pytest.approx(r.queue_efficiency, abs=1e-12) for r in got)
