@@ -16,8 +16,10 @@ def write_snapshot(
     df: DataFrame, path: str, partition_by: Sequence[str] = ("datetime",), fmt: str = "parquet"
 ) -> None:
     """Snapshot sink, one folder per stamp."""
-    df.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    (df.write.mode("overwrite").partitionBy(*partition_by).format(fmt).save(path))
+    (
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partition_by).format(fmt).save(path)
+    )
 
 
 def write_suggestions(
@@ -30,5 +32,7 @@ def write_suggestions(
     the ':' of dataset identifiers is escaped in folder names and read back
     intact.
     """
-    df.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    (df.write.mode("overwrite").partitionBy(*keys).format(fmt).save(path))
+    (
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*keys).format(fmt).save(path)
+    )
