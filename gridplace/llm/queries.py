@@ -9,6 +9,8 @@ from gridplace.llm.bpe_codec import bpe_encode
 from gridplace.llm.common import table
 from gridplace.llm.decontaminate import decontaminate
 from gridplace.llm.exact_dedup import exact_dedup
+from gridplace.llm.simhash import simhash_dedup
+from gridplace.llm.substring_dedup import substring_dedup
 from gridplace.llm.token_count import token_counts
 from gridplace.llm.warc import through_warc
 
@@ -19,6 +21,10 @@ def vocab_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents"), with_text=False)
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.drop("items")
@@ -36,19 +42,40 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup(table(spark, sf_dir, "documents"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_encode(table(spark, sf_dir, "documents"), vocab_path(), with_ids=False)
 
 
 QUERIES = {
+    "op2_substring_dedup": op2_substring_dedup,
     "op4_decontaminate": op4_decontaminate,
     "op5_warc": op5_warc,
     "op6_token_counts": op6_token_counts,
     "op7_exact_dedup": op7_exact_dedup,
+    "op9_simhash_dedup": op9_simhash_dedup,
     "op10_bpe": op10_bpe,
 }
 
 ORACLES = {
+    "op2_substring_dedup": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x{20}\x{09}-\x{0D}]+') AS w FROM documents
+        ), cut AS (
+            SELECT r, i, hash(array_to_string(w[i : i + 34], ' ')) AS h, md5(array_to_string(w[i : i + 34], ' ')) AS m
+            FROM (SELECT r, w, unnest(generate_series(1, len(w) - 34)) AS i FROM d WHERE len(w) >= 35)
+        ), twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY h, m) AS n FROM cut) WHERE n > 1),
+        gone AS (SELECT DISTINCT r, unnest(generate_series(i, i + 34)) AS i FROM twice),
+        words AS (SELECT r, unnest(w) AS word, unnest(generate_series(1, len(w))) AS i FROM d),
+        kept AS (
+            SELECT r, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n
+            FROM words ANTI JOIN gone USING (r, i) GROUP BY r
+        )
+        SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (r)""",
     "op4_decontaminate": r"""
         WITH words AS (
             SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w
