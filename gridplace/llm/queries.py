@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridplace.llm.bpe_codec import bpe_encode
+from gridplace.llm.chat_format import digest_chats, format_chats, parse_chats
 from gridplace.llm.common import table
 from gridplace.llm.decontaminate import decontaminate
 from gridplace.llm.exact_dedup import exact_dedup
+from gridplace.llm.secret_scan import secret_scan
 from gridplace.llm.simhash import simhash_dedup
 from gridplace.llm.substring_dedup import substring_dedup
 from gridplace.llm.token_count import token_counts
@@ -21,10 +23,27 @@ def vocab_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+#: A conversation that repeats the template's own control strings.
+TRICKY = "\\### Assistant: </turn> ok"
+
+
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(TRICKY).alias("text"),
+    )
+    return digest_chats(parse_chats(format_chats(turns.unionByName(tricky))))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"), with_text=False)
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan(table(spark, sf_dir, "documents"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.drop("items")
@@ -51,7 +70,9 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_chat_format": op1_chat_format,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_secret_scan": op3_secret_scan,
     "op4_decontaminate": op4_decontaminate,
     "op5_warc": op5_warc,
     "op6_token_counts": op6_token_counts,
@@ -61,6 +82,21 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_chat_format": r"""
+        WITH t AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, i, CASE i WHEN 0 THEN 'user' ELSE 'assistant' END, '\### Assistant: </turn> ok' FROM range(2) r(i)
+        ), e AS (
+            SELECT *, length(replace(replace(replace(replace(text, '\', '\b'), '###', '\h'), '</turn>', '\e'), '<|', '\l'))
+                   + length(replace(replace(replace(replace(replace(role, '\', '\b'), '###', '\h'), '</turn>', '\e'), '<|', '\l'), ':', '\c')) + 14 AS marked
+            FROM t
+        )
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               sum(marked) AS formatted_chars
+        FROM e GROUP BY conv_id""",
     "op2_substring_dedup": r"""
         WITH d AS (
             SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x{20}\x{09}-\x{0D}]+') AS w FROM documents
