@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gridplace.session import ensure_checkpoint_dir, materialize
 
-__all__ = ["ensure_checkpoint_dir", "materialize", "table", "text_or_empty", "row_key", "text_slices", "map_arrow"]
+__all__ = ["ensure_checkpoint_dir", "materialize", "table", "text_or_empty", "row_key", "text_slices", "map_arrow", "fresh"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,14 @@ def row_key(text_col: str) -> Column:
     return F.xxhash64(text_or_empty(text_col))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not use yet."""
+    used = {c.lower() for c in df.columns}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
 def text_slices(texts: list[str], max_chars: int) -> Iterator[tuple[int, int]]:
     """Ranges of ``texts`` of at most ``max_chars`` characters each (a longer
     text is a range of its own), so that a batch of very long texts does not

@@ -27,7 +27,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridplace.llm.common import materialize, row_key, text_or_empty
+from gridplace.llm.common import fresh, materialize, row_key, text_or_empty
 
 #: Characters between words, after A-Z are lower-cased.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -94,7 +94,7 @@ def decontaminate(
     item_id_col: str = "item_id",
     item_text_col: str = "text",
 ) -> DataFrame:
-    """Per document: doc_id, n_words, n_hit, n_items, items_sha256 and items
+    """Per document: doc_id, key (of id and text), n_words, n_hit, n_items, items_sha256 and items
     (sorted ids of items with an occurring window), contaminated."""
     items = benchmark.select(F.col(item_id_col).cast("string").alias("item_id"), text_or_empty(item_text_col).alias("text"))
     sized = materialize(
@@ -168,6 +168,7 @@ def decontaminate(
         .join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")), "left")
         .select(
             "doc_id",
+            "key",
             F.col("n_words").cast("long").alias("n_words"),
             F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
             F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
@@ -176,3 +177,13 @@ def decontaminate(
             (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
         )
     )
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that no benchmark window hits, all columns
+    unchanged."""
+    dirty, dirty_key = fresh(docs, "_dirty"), fresh(docs, "_dirty_key")
+    hit = decontaminate(docs, benchmark, window, id_col, text_col).filter("contaminated")
+    found = materialize(hit.select(F.col("doc_id").alias(dirty), F.col("key").alias(dirty_key)).distinct(), "dirty_documents")
+    same = F.col(id_col).eqNullSafe(F.col(dirty)) & (row_key(text_col) == F.col(dirty_key))
+    return docs.join(found.hint("shuffle_hash"), same, "left_anti")

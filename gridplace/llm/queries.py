@@ -10,6 +10,7 @@ from gridplace.llm.chat_format import digest_chats, format_chats, parse_chats
 from gridplace.llm.common import table
 from gridplace.llm.decontaminate import decontaminate
 from gridplace.llm.exact_dedup import exact_dedup
+from gridplace.llm.quality import quality
 from gridplace.llm.secret_scan import secret_scan
 from gridplace.llm.simhash import simhash_dedup
 from gridplace.llm.substring_dedup import substring_dedup
@@ -46,7 +47,7 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return out.drop("items")
+    return out.drop("items", "key")
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,6 +62,10 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup(table(spark, sf_dir, "documents"))
 
@@ -77,6 +82,7 @@ QUERIES = {
     "op5_warc": op5_warc,
     "op6_token_counts": op6_token_counts,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_quality": op8_quality,
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_bpe": op10_bpe,
 }

@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridplace.llm.common import map_arrow, materialize, text_or_empty
+from gridplace.llm.common import fresh, map_arrow, materialize, row_key, text_or_empty
 
 BITS = 64
 N_PIVOTS = 24
@@ -78,16 +78,16 @@ def fingerprint(text: str, words_per_shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, words_per_shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fp (the fingerprint as a signed long)."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
+    """doc_id, key, fp (the fingerprint as a signed long)."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), row_key(text_col).alias("key"), text_or_empty(text_col).alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.fromiter((fingerprint(t.as_py(), words_per_shingle) for t in batch.column(1)), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            fps = np.fromiter((fingerprint(t.as_py(), words_per_shingle) for t in batch.column(2)), np.uint64, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps.view(np.int64))], ["doc_id", "key", "fp"])
 
-    return map_arrow(rows, run, f"doc_id {id_type}, fp long")
+    return map_arrow(rows, run, f"doc_id {id_type}, key long, fp long")
 
 
 def cut_bits(mask: int, parts: int) -> list[int]:
@@ -275,6 +275,20 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def grouped(docs: DataFrame, words_per_shingle: int, max_bits: int, id_col: str, text_col: str, max_file: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, key, fp) of all rows, and (fp, label, least) of all distinct
+    fingerprints: ``least`` is the component's first document, by id (NULL
+    last) and key."""
+    prints = materialize(fingerprints(docs, words_per_shingle, id_col, text_col), "fingerprints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")).alias("least")
+    classes = materialize(prints.groupBy("fp").agg(first), "fingerprint_classes")
+    label = components(links(classes.select("fp"), max_bits, max_file))
+    linked = classes.join(label.select(F.col("node").alias("fp"), "label"), "fp", "left").withColumn("label", F.coalesce("label", "fp"))
+    linked = materialize(linked, "labelled_classes")
+    groups = materialize(linked.groupBy("label").agg(F.min("least").alias("least")), "components")
+    return prints, materialize(linked.drop("least").join(groups, "label"), "named_classes")
+
+
 def simhash_dedup(
     docs: DataFrame,
     words_per_shingle: int = 3,
@@ -285,12 +299,19 @@ def simhash_dedup(
 ) -> DataFrame:
     """Per document: doc_id, fingerprint (16 hex digits), component_id (the
     smallest id reachable by links, its own included)."""
-    prints = materialize(fingerprints(docs, words_per_shingle, id_col, text_col), "fingerprints")
-    classes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprint_classes")
-    label = components(links(classes.select("fp"), max_bits, max_file))
-    linked = classes.join(label.select(F.col("node").alias("fp"), "label"), "fp", "left").withColumn("label", F.coalesce("label", "fp"))
-    linked = materialize(linked, "labelled_classes")
-    groups = materialize(linked.groupBy("label").agg(F.min("least").alias("component_id")), "components")
-    named = materialize(linked.join(groups, "label").select("fp", "component_id"), "named_classes")
+    prints, named = grouped(docs, words_per_shingle, max_bits, id_col, text_col, max_file)
     # both sides are plain tables: a fingerprint that a third of all documents share is split by AQE
-    return prints.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return prints.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("least.doc_id").alias("component_id"))
+
+
+def keep_one_of_each_component(
+    docs: DataFrame, words_per_shingle: int = 3, max_bits: int = 3, id_col: str = "doc_id", text_col: str = "text", max_file: int = FIRST_FILE
+) -> DataFrame:
+    """The row of ``docs`` with the smallest id of each component, all columns
+    unchanged; of rows that repeat its id and text one stays."""
+    _, named = grouped(docs, words_per_shingle, max_bits, id_col, text_col, max_file)
+    row, least, least_key = (fresh(docs, c) for c in ("_row", "_least", "_least_key"))
+    stays = materialize(named.select(F.col("least.doc_id").alias(least), F.col("least.key").alias(least_key)).distinct(), "component_firsts")
+    same = F.col(id_col).eqNullSafe(F.col(least)) & (F.col(row) == F.col(least_key))
+    found = docs.withColumn(row, row_key(text_col)).join(stays, same, "left_semi")
+    return found.dropDuplicates([id_col, row]).drop(row)
