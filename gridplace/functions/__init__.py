@@ -1,26 +1 @@
 from gridplace.functions.columns import *  # noqa: F401,F403
-from gridplace.functions.columns import (  # noqa: F401
-    BYTES_PER_GIB,
-    GIB_PER_TIB,
-    bytes_to_gib,
-    bytes_to_tib,
-    dataset_name,
-    dataset_scope,
-    days_before,
-    falsy_default,
-    not_test_queue,
-    nvl,
-    oracle_greatest,
-    oracle_least,
-    pandas_round,
-    rse_matches,
-    safe_div,
-    snapshot_label,
-    snapshot_week,
-    sql_round,
-    to_double_or_null,
-    trailing_window,
-    ts_literal,
-    week_start,
-    whole_seconds_between,
-)

@@ -36,21 +36,31 @@ def ts_literal(value: str | dt.date | dt.datetime) -> Column:
 
 
 def days_before(as_of, n_days: int | float) -> Column:
-    """``as_of - n_days`` (Oracle ``sysdate - n``); constant-folded by Catalyst."""
-    return ts_literal(as_of) - F.make_dt_interval(days=F.lit(int(n_days)))
+    """``as_of - n_days`` (Oracle ``sysdate - n``, fractions of a day
+    included); constant-folded by Catalyst."""
+    zero = F.lit(0)
+    return ts_literal(as_of) - F.make_dt_interval(zero, zero, zero, F.lit(n_days * 86400).cast("decimal(18,6)"))
 
 
-def trailing_window(ts: str | Column, as_of, n_days: int | float | None) -> Column:
+def trailing_window(
+    ts: str | Column, as_of, n_days: int | float | None, partition_col: str | Column | None = None
+) -> Column:
     """``ts >= as_of - n_days AND ts < as_of``.
 
     The upper bound makes a run replayable at a past ``as_of``.  Both
     bounds fold to literals, so the predicate reaches the Parquet scan.
-    ``n_days=None`` keeps only the upper bound.
+    ``n_days=None`` keeps only the upper bound.  ``partition_col`` is the
+    date of ``ts`` that the table is partitioned by, if it is: the same
+    bounds on it let the scan open only the days of the window.
     """
-    upper = col(ts) < ts_literal(as_of)
-    if n_days is None:
-        return upper
-    return (col(ts) >= days_before(as_of, n_days)) & upper
+    end, start = ts_literal(as_of), None if n_days is None else days_before(as_of, n_days)
+    cond = col(ts) < end if start is None else (col(ts) >= start) & (col(ts) < end)
+    if partition_col is not None:
+        day = col(partition_col)
+        cond = cond & (day <= end.cast("date"))
+        if start is not None:
+            cond = cond & (day >= start.cast("date"))
+    return cond
 
 
 def week_start(d: str | Column) -> Column:
@@ -117,13 +127,9 @@ def oracle_least(*cols: str | Column) -> Column:
 # Rounding goes through DECIMAL(38,12): two plans that compute the same
 # quantity with a different summation order can differ in the last bit of a
 # double, and a value that sits on a rounding tie would then round two ways.
-# Twelve decimals absorb that noise; beyond 1e20 the double is rounded as is.
-_DECIMAL_SAFE = 1e20
-
-
+# Twelve decimals absorb that noise; a value of 1e26 or more is an overflow error.
 def _decimal_round(c: Column, scale: int, fn) -> Column:
-    exact = fn(c.cast("decimal(38,12)"), scale).cast("double")
-    return F.when(F.abs(c) < _DECIMAL_SAFE, exact).otherwise(fn(c.cast("double"), scale))
+    return fn(c.cast("decimal(38,12)"), scale).cast("double")
 
 
 def sql_round(c: str | Column, scale: int) -> Column:

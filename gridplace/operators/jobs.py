@@ -32,13 +32,16 @@ def select_jobs(
     n_days: int | float | None,
     label: str | None = None,
     exclude_test: bool = False,
+    partition_col: str | None = None,
 ) -> DataFrame:
-    """O2 + P1 + P2 + P3: UNION ALL of job tables reduced to (queue, status, pandaid)."""
+    """O2 + P1 + P2 + P3: UNION ALL of job tables reduced to (queue, status, pandaid).
+
+    ``partition_col``: the date column that the tables are partitioned by."""
     if isinstance(tables, DataFrame):
         tables = [tables]
     parts = []
     for t in tables:
-        cond = trailing_window("modificationtime", as_of, n_days)
+        cond = trailing_window("modificationtime", as_of, n_days, partition_col)
         if label is not None:
             cond = cond & (F.col("prodsourcelabel") == label)
         if exclude_test:
@@ -71,6 +74,7 @@ def job_status_counts(
     label: str | None = None,
     exclude_test: bool = False,
     count_col: str | None = "pandaid",
+    partition_col: str | None = None,
 ) -> DataFrame:
     """datetime, queue, <one column per status> (NULL where the queue has none).
 
@@ -78,7 +82,7 @@ def job_status_counts(
     (``TRUNC(sysdate - 1, 'DAY')``); it is constant per run, so it is added
     after the aggregate instead of being a grouping key.
     """
-    jobs = select_jobs(tables, as_of, n_days, label=label, exclude_test=exclude_test)
+    jobs = select_jobs(tables, as_of, n_days, label=label, exclude_test=exclude_test, partition_col=partition_col)
     counts = status_pivot(jobs, statuses, count_col=count_col)
     return counts.select(snapshot_week(as_of).alias("datetime"), "queue", *statuses)
 

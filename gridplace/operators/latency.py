@@ -29,10 +29,10 @@ QUEUEING_STATUSES = ("activated", "running")
 
 def task_status_times(
     log: DataFrame, active: DataFrame, as_of, n_days=1, label: str | None = "user",
-    statuses: Sequence[str] = QUEUEING_STATUSES,
+    statuses: Sequence[str] = QUEUEING_STATUSES, partition_col: str | None = None,
 ) -> DataFrame:
     """Queue, jeditaskid, jobstatus, first modificationtime in the window."""
-    cond = trailing_window("modificationtime", as_of, n_days) & F.col("jobstatus").isin(*statuses)
+    cond = trailing_window("modificationtime", as_of, n_days, partition_col) & F.col("jobstatus").isin(*statuses)
     if label is not None:
         cond = cond & (F.col("prodsourcelabel") == label)
     first = log.filter(cond).groupBy("pandaid", "jobstatus").agg(F.min("modificationtime").alias("_t"))
@@ -54,12 +54,13 @@ def queueing_lags(times: DataFrame) -> DataFrame:
 
 
 def queueing_time(
-    log: DataFrame, active: DataFrame, as_of, n_days=1, label: str | None = "user", approx_median: bool = False
+    log: DataFrame, active: DataFrame, as_of, n_days=1, label: str | None = "user", approx_median: bool = False,
+    partition_col: str | None = None,
 ) -> DataFrame:
     """queue, queue_time_avg, queue_time_max, queue_time_min,
     queue_time_median, n_tasks, weighted_avg_queue_time,
     weighted_median_queue_time."""
-    lags = queueing_lags(task_status_times(log, active, as_of, n_days, label))
+    lags = queueing_lags(task_status_times(log, active, as_of, n_days, label, partition_col=partition_col))
     med = F.percentile_approx("lag", 0.5, 10000) if approx_median else F.median("lag")
     a = lags.filter(F.col("jobstatus") == "running").groupBy("queue").agg(
         sql_round(F.avg("lag"), 0).alias("queue_time_avg"),

@@ -28,13 +28,14 @@ def dataset_popularity(
     tasktype: str = "anal",
     patterns: Sequence[str] = DAOD_PATTERNS,
     approx: bool = False,
+    partition_col: str | None = None,
 ) -> DataFrame:
     """datasetname, n_tasks, n_users: distinct tasks and users that read the
     dataset as primary input in the last ``days`` (finished tasks of
     ``tasktype``), keeping datasets with ``n_tasks >= min_tasks``."""
     t = tasks.filter(
         (F.col("tasktype") == tasktype)
-        & trailing_window("modificationtime", as_of, days)
+        & trailing_window("modificationtime", as_of, days, partition_col)
         & F.col("endtime").isNotNull()
     ).select("jeditaskid", "username")
     like = None

@@ -102,15 +102,17 @@ INPUTS["replica_records"] = (("collection_replicas", "rses"), """SELECT c.scope,
        c.available_bytes, c.available_replicas_cnt AS available_length, c.state, c.created_at, c.updated_at, c.accessed_at
 FROM collection_replicas c JOIN rses r ON c.rse_id = r.rse_id""")
 
-INPUTS["rules_all"] = (("rses",), """SELECT 'r' || CAST(g.l_partkey AS VARCHAR) || '-' || CAST(g.l_suppkey AS VARCHAR) AS rule_id,
+INPUTS["rules_all"] = (("rses",), """SELECT concat('r', g.l_partkey, '-', g.l_suppkey, '-', g.rule_no) AS rule_id,
        'mc' AS scope, 'mc.' || CAST(g.l_partkey AS VARCHAR) AS name, r.rse AS rse_expression,
        g.created_at, g.updated_at, 'OK' AS state,
-       CASE WHEN g.first_line <= 1 THEN 'production' ELSE 'user' END AS account,
-       CASE WHEN g.first_line <= 1 THEN NULL ELSE g.updated_at END AS expires_at,
-       CASE WHEN g.first_line <= 1 THEN 'Production Output' ELSE 'User Subscriptions' END AS activity
-FROM (SELECT l_partkey, l_suppkey, min(l_linenumber) AS first_line, min(l_shipdate) AS created_at,
-             max(l_shipdate) AS updated_at
-      FROM lineitem WHERE l_linestatus = 'F' GROUP BY l_partkey, l_suppkey) g
+       CASE WHEN g.permanent THEN 'production' ELSE 'user' END AS account,
+       CASE WHEN g.permanent THEN NULL ELSE g.updated_at END AS expires_at,
+       CASE WHEN g.permanent THEN 'Production Output' ELSE 'User Subscriptions' END AS activity
+FROM (SELECT h.*, n.rule_no, first_line <= 1 AND rule_no <= 2 - l_partkey % 2 AS permanent
+      FROM (SELECT l_partkey, l_suppkey, min(l_linenumber) AS first_line, min(l_shipdate) AS created_at,
+                   max(l_shipdate) AS updated_at
+            FROM lineitem WHERE l_linestatus = 'F' GROUP BY l_partkey, l_suppkey) h
+      JOIN (VALUES (1), (2), (3)) n(rule_no) ON n.rule_no <= (l_partkey + l_suppkey) % 3 + 1) g
 JOIN rses r ON r.rse_id = g.l_suppkey""")
 
 INPUTS["tasks"] = ((), """SELECT o_orderkey AS jeditaskid, 'u' || CAST(o_custkey AS VARCHAR) AS username,
@@ -126,6 +128,8 @@ INPUTS["task_datasets"] = ((), f"""SELECT l.l_orderkey AS jeditaskid,
        CASE WHEN l.l_linenumber >= 6 THEN l.l_linenumber END AS masterid
 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey""")
 
+INPUTS["wanted"] = ((), "SELECT 'mc' AS scope, 'mc.' || p_partkey AS name FROM part WHERE p_size <= 10")
+
 INPUTS["status_log"] = ((), f"""SELECT user_id AS pandaid, {_case('event_type', STATUS_BY_EVENT)} AS jobstatus,
        ts AS modificationtime, CASE WHEN value < 200 THEN 'user' ELSE 'managed' END AS prodsourcelabel
 FROM events""")
@@ -142,7 +146,7 @@ INPUTS["sup_disks"] = (("sup",), f"""SELECT s.*, {rse_name('s.s_name', 's.s_supp
             ELSE COALESCE({rse_name('nx.s_name', 'nx.s_suppkey')}, {rse_name('s.s_name', 's.s_suppkey')}) END AS other_rse
 FROM sup s LEFT JOIN supplier nx ON nx.s_suppkey = s.s_suppkey + 1""")
 
-INPUTS["catalogue_rows"] = (("sup_disks",), f"""SELECT {q_name('s_suppkey')} AS queue, n_name AS site, r_name AS cloud,
+INPUTS["catalogue_rows"] = (("sup_disks",), f"""SELECT {q_name('s_suppkey')} AS queue, n_name AS site, CASE WHEN s_suppkey % 6 <> 1 THEN r_name END AS cloud,
        CAST(s_suppkey % 4 AS INTEGER) AS tier_level,
        CAST(round(CAST(s_acctbal / 1000 AS DECIMAL(38,12)), 2) AS DOUBLE) AS corepower,
        CAST(CASE WHEN s_suppkey % 9 <> 4 THEN s_nationkey % 8 + 1 END AS INTEGER) AS corecount,

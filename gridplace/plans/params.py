@@ -18,3 +18,5 @@ POPULARITY_MIN_TASKS = 10
 LATENCY_AS_OF = "2024-01-31"
 LATENCY_DAYS = 1
 LATENCY_LABEL = "user"
+SELECTED_THRESHOLDS = {"Difference": (">", 5), "queue_efficiency": ("<=", 0.3)}
+SELECTED_BAND = (0, 9)         # distances of the scoring of listed datasets, both ends excluded

@@ -8,7 +8,6 @@ them read whole tables; nothing is sampled or capped.
 from __future__ import annotations
 
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +24,7 @@ from gridplace.operators import topology as T
 from gridplace.plans import params as P
 from gridplace.session import materialize
 from gridplace.sources.nested import parse_queue_catalogue, parse_storage_json
+from gridplace.sources.readers import split_dataset_ids
 from gridplace.sources.testdata import TestTables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -148,25 +148,25 @@ def _distances(tt: TestTables) -> DataFrame:
     return T.rse_distances(tt.distances, tt.attrs, tt.rses, P.SNAPSHOT_AS_OF)
 
 
-def _scoring_inputs(tt: TestTables) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The three snapshot tables the scoring reads (merged candidates,
-    distance report, replica snapshot), written once as tables in the
-    checkpoint folder.  In the reference they are files written by separate jobs; here
-    the write cuts the lineage so the scoring plan reads compact tables
-    instead of re-deriving them in every branch that uses them."""
-    jobs = [
-        (_candidates(tt), "merged_candidates"),
-        (_distances(tt).select("source", "dest", "agis_distance"), "distances"),
-        (_replicas(tt).select("scope", "name", "rse", "official", "TB", "available_TB"), "replicas"),
-    ]
-    # three independent writes: submitted together so their stages share the cluster
-    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
-        return tuple(pool.map(lambda j: materialize(*j), jobs))
+def _distance_table(tt: TestTables) -> DataFrame:
+    """The distance report as a table: closeness reads it twice."""
+    return materialize(_distances(tt).select("source", "dest", "agis_distance"), "distances")
 
 
 def _closeness(tt: TestTables) -> DataFrame:
-    cand, dist, reps = _scoring_inputs(tt)
-    return CA.closeness(cand, dist, CA.official_sources(reps))
+    sources = materialize(CA.official_sources(_replicas(tt)), "official_sources")
+    return CA.closeness(_candidates(tt), _distance_table(tt), sources)
+
+
+def _weights(tt: TestTables, level: str, **options) -> DataFrame:
+    """In the reference the inputs of the scoring are files written by
+    separate jobs; here the two that are read more than once are tables."""
+    reps = materialize(_replicas(tt).select("scope", "name", "rse", "official", "TB", "available_TB"), "replicas")
+    return SC.rse_weight(_candidates(tt), _distance_table(tt), reps, level=level, **options)
+
+
+def _wanted(tt: TestTables) -> DataFrame:
+    return split_dataset_ids(tt.wanted_datasets)
 
 
 def q_merged_candidates(spark, sf_dir):
@@ -185,11 +185,36 @@ def q_mean_range_normalise(spark, sf_dir):
 
 
 def q_rse_weight(spark, sf_dir):
-    return SC.rse_weight(*_scoring_inputs(TestTables(spark, sf_dir)), level="queue")
+    return _weights(TestTables(spark, sf_dir), "queue")
 
 
 def q_rse_weight_by_rse(spark, sf_dir):
-    return SC.rse_weight(*_scoring_inputs(TestTables(spark, sf_dir)), level="rse")
+    return _weights(TestTables(spark, sf_dir), "rse")
+
+
+def q_rse_weight_selected(spark, sf_dir):
+    """The variant behind a suggestion: thresholds, distance band, roll-up, listed datasets."""
+    tt = TestTables(spark, sf_dir)
+    return _weights(tt, "rse", thresholds=P.SELECTED_THRESHOLDS, band=P.SELECTED_BAND, datasets=_wanted(tt))
+
+
+def q_replica_locations_selected(spark, sf_dir):
+    tt = TestTables(spark, sf_dir)
+    return T.replica_locations(tt.collection_replicas, tt.attrs, tt.rses, _wanted(tt))
+
+
+def q_queue_occupancy_user(spark, sf_dir):
+    return Q.queue_occupancy_report(TestTables(spark, sf_dir).job_tables(*OCC_TABLES), P.JOBS_AS_OF, P.SHARES_DAYS, label="user")
+
+
+def q_queue_efficiency_user(spark, sf_dir):
+    return Q.queue_efficiency_report(TestTables(spark, sf_dir).job_tables("jobs_archived4"), P.JOBS_AS_OF)
+
+
+def q_job_shares_union(spark, sf_dir):
+    """Job shares over four tables that are read on their own."""
+    tables = TestTables(spark, sf_dir).job_tables(*ALL_TABLES)
+    return S.job_shares_report(tables, P.JOBS_AS_OF, P.SHARES_DAYS, label=P.SHARES_LABEL)
 
 
 QUERIES: dict[str, Query] = {
@@ -216,6 +241,11 @@ QUERIES: dict[str, Query] = {
     "mean_range_normalise": q_mean_range_normalise,
     "rse_weight": q_rse_weight,
     "rse_weight_by_rse": q_rse_weight_by_rse,
+    "rse_weight_selected": q_rse_weight_selected,
+    "replica_locations_selected": q_replica_locations_selected,
+    "queue_occupancy_user": q_queue_occupancy_user,
+    "queue_efficiency_user": q_queue_efficiency_user,
+    "job_shares_union": q_job_shares_union,
 }
 
 

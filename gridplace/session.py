@@ -7,6 +7,7 @@ the launcher and only the checkpoint folder is read from it.
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -44,26 +45,29 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local-mode session without that setting (tests) gets a fresh
-    scratch folder; a cluster session without it is an error, because a
+    Only a session in one JVM without that setting (tests) gets a folder of
+    its own, once per session; on a cluster it is an error, because a
     machine-local folder does not survive the loss of an executor.
     """
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
-        if not sc.master.startswith("local"):
+        if sc.master.split("[")[0] != "local":
             raise RuntimeError("set spark.checkpoint.dir to a shared folder on the cluster")
-        path = tempfile.mkdtemp(prefix="gridplace-ckpt-")
+        path = _OWN_FOLDERS.get(sc.applicationId)
+        if path is None:
+            path = _OWN_FOLDERS[sc.applicationId] = tempfile.mkdtemp(prefix="gridplace-ckpt-")
     sc.setCheckpointDir(path)
     return path
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into ``spark.checkpoint.dir`` (never localCheckpoint)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+_OWN_FOLDERS: dict[str, str] = {}
+
+
+def _tables_folder(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/gridplace-{spark.sparkContext.applicationId}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -73,9 +77,39 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     Unlike an eager ``checkpoint()``, which runs the plan once to count and
     again to write, the plan runs once; the table survives executor loss,
     cuts the lineage, and gives the planner real sizes for its join choices.
+    The tables of a session share one folder, which ``drop_tables`` deletes;
+    without that call it goes when the driver's Python ends.
     """
     spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/gridplace-tables/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    folder = _tables_folder(spark)
+    if folder not in _LIVE:
+        _LIVE.add(folder)
+        atexit.register(_drop_at_exit, spark, folder)
+    path = f"{folder}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+_LIVE: set[str] = set()
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(conf).delete(path, True)
+
+
+def drop_tables(spark: SparkSession) -> None:
+    """Delete all tables that ``materialize`` wrote in this session; the
+    DataFrames that read them end with it."""
+    folder = _tables_folder(spark)
+    _delete(spark, folder)
+    _LIVE.discard(folder)
+
+
+def _drop_at_exit(spark: SparkSession, folder: str) -> None:
+    try:
+        if folder in _LIVE and spark.sparkContext._jsc is not None:
+            _delete(spark, folder)
+    except Exception:  # the JVM may be gone already; nothing is left to do
+        pass

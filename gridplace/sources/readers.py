@@ -43,14 +43,19 @@ def read_snapshot(
 
     Paths containing ':' cannot be read by Spark; snapshots are stored under
     names without it (dataset identifiers become partition values instead).
+    A header with other names or another order, and a cell that is not of its
+    column's type, are errors.
     """
     fields = list(schema.fields)
     if has_index:
         fields = [T.StructField("_c0", T.LongType(), True)] + fields
+    header = spark.read.option("header", True).csv(path).columns  # reads the first line only
+    if header != [f.name for f in fields]:
+        raise ValueError(f"{path}: columns {header} instead of {[f.name for f in fields]}")
     df = (
         spark.read.schema(T.StructType(fields))
         .option("header", True)
-        .option("mode", "PERMISSIVE")
+        .option("mode", "FAILFAST")
         .csv(path)
     )
     return df.drop("_c0") if has_index else df
@@ -67,5 +72,9 @@ def read_dataset_list(spark: SparkSession, path: str) -> DataFrame:
     The list becomes a join key, so every listed dataset is scored in one job
     rather than one process run per dataset.
     """
-    lines = spark.read.text(path).select(F.trim("value").alias("did")).filter(F.col("did") != "")
-    return lines.select("did", dataset_scope("did").alias("scope"), dataset_name("did").alias("name"))
+    return split_dataset_ids(spark.read.text(path).select(F.trim("value").alias("did")).filter(F.col("did") != ""))
+
+
+def split_dataset_ids(dids: DataFrame) -> DataFrame:
+    """did -> (did, scope, name)."""
+    return dids.select("did", dataset_scope("did").alias("scope"), dataset_name("did").alias("name"))

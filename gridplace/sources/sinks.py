@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 
 def write_snapshot(
@@ -25,14 +25,19 @@ def write_snapshot(
 def write_suggestions(
     df: DataFrame, path: str, keys: Sequence[str] = ("dataset", "source_replica"), fmt: str = "parquet"
 ) -> None:
-    """One output folder per (dataset, source replica).
+    """One output folder per (dataset, source replica), one file in it.
 
-    No repartition by the keys: that would put a whole hot group into one
-    task.  The writer sorts each task's rows by the partition keys itself;
-    the ':' of dataset identifiers is escaped in folder names and read back
-    intact.
+    Rows are dealt by both keys: a group is bounded by the candidates, many
+    groups share a task, and a hot source spreads by its datasets.  The ':'
+    of dataset identifiers is escaped in folder names and read back intact.
     """
     (
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        df.repartition(*keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*keys).format(fmt).save(path)
     )
+
+
+def write_report(df: DataFrame, path: str, order_by: Sequence[str | Column], fmt: str = "parquet") -> None:
+    """O1: a report in its final order: a range-partitioned sort, so the files
+    in name order hold the rows in order without one task seeing them all."""
+    df.orderBy(*order_by).write.mode("overwrite").format(fmt).save(path)

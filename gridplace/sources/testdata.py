@@ -27,6 +27,8 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridplace.sources.readers import read_table
+
 # Job status from o_orderstatus || l_returnflag.
 STATUS_BY_CODE = {
     "FA": "running",
@@ -98,7 +100,7 @@ class TestTables:
         self.sf_dir = sf_dir.rstrip("/")
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return read_table(self.spark, name, path=self.sf_dir)
 
     # --- jobs -------------------------------------------------------------
 
@@ -136,6 +138,18 @@ class TestTables:
             _case(code, STATUS_BY_CODE).alias("jobstatus"),
         )
 
+    def job_tables(self, *tables: str) -> list[DataFrame]:
+        """The named job tables, each read on its own."""
+        return [self.jobs(t) for t in tables]
+
+    @cached_property
+    def wanted_datasets(self) -> DataFrame:
+        """Identifiers of the datasets to score, as a dataset list holds them:
+        those of the small parts, every other one without its scope."""
+        p = self.raw("part").filter(F.col("p_size") <= 10)
+        name = F.concat(F.lit("mc."), F.col("p_partkey").cast("string"))
+        return p.select(F.when(F.col("p_size") % 2 == 0, F.concat(F.lit("mc:"), name)).otherwise(name).alias("did"))
+
     # --- storage endpoints ------------------------------------------------
 
     @cached_property
@@ -281,9 +295,13 @@ class TestTables:
             F.max("l_shipdate").alias("updated_at"),
         )
         g = g.join(self.rses, F.col("l_suppkey") == F.col("rse_id"))
-        official = F.col("first_line") <= 1
+        # one to three rules on an endpoint: all expiring, two permanent, or mixed
+        n_rules = (F.col("l_partkey") + F.col("l_suppkey")) % 3 + 1
+        g = g.select("*", F.explode(F.sequence(F.lit(1), n_rules.cast("int"))).alias("rule_no"))
+        permanent = F.col("first_line") <= 1
+        official = permanent & ((F.col("rule_no") == 1) | ((F.col("rule_no") == 2) & (F.col("l_partkey") % 2 == 0)))
         return g.select(
-            F.concat(F.lit("r"), F.col("l_partkey").cast("string"), F.lit("-"), F.col("l_suppkey").cast("string")).alias("rule_id"),
+            F.concat_ws("-", F.concat(F.lit("r"), F.col("l_partkey").cast("string")), F.col("l_suppkey").cast("string"), F.col("rule_no").cast("string")).alias("rule_id"),
             F.lit("mc").alias("scope"),
             F.concat(F.lit("mc."), F.col("l_partkey").cast("string")).alias("name"),
             F.col("rse").alias("rse_expression"),
@@ -385,7 +403,7 @@ class TestTables:
         k = F.col("s_suppkey")
         attrs = F.struct(
             F.col("n_name").alias("rc_site"),
-            F.col("r_name").alias("cloud"),
+            F.when(k % 6 != 1, F.col("r_name")).alias("cloud"),
             (k % 4).cast("int").alias("tier_level"),
             F.round(F.col("s_acctbal") / 1000, 2).alias("corepower"),
             F.when(k % 9 != 4, (F.col("s_nationkey") % 8 + 1)).cast("int").alias("corecount"),

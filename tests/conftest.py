@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from gridplace.session import local_session  # noqa: E402
+from gridplace.session import drop_tables, local_session  # noqa: E402
 
 FIXTURES = os.path.join(os.path.dirname(os.path.abspath(__file__)), "fixtures")
 SF_SMALL = "/root/testdata/sf0.001"
@@ -15,4 +15,5 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     s = local_session(4, shuffle_partitions=4, app="gridplace-tests")
     yield s
+    drop_tables(s)
     s.stop()

@@ -1,4 +1,4 @@
-"""Every registered query against its DuckDB oracle on the sf0.001 tables,
+"""Every registered report against its DuckDB oracle on the sf0.001 tables,
 and the driver's entry point."""
 
 import os
@@ -10,6 +10,7 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as entry  # noqa: E402
+from gridplace.plans import registry  # noqa: E402
 from check_oracles import TABLES, rows  # noqa: E402
 from conftest import SF_SMALL  # noqa: E402
 
@@ -26,11 +27,14 @@ def duck():
     return con
 
 
-def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+KEYS = sorted(registry.queries())
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+def test_every_report_has_an_oracle():
+    assert set(KEYS) <= set(entry.oracle_sql())
+
+
+@pytest.mark.parametrize("key", KEYS)
 def test_query_matches_oracle(spark, duck, key):
     df = entry.queries()[key](spark, SF_SMALL)
     sc, sr = rows(df.columns, df.collect())
@@ -44,4 +48,4 @@ def test_query_matches_oracle(spark, duck, key):
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert "rse_weight" in df.columns
-    assert df.count() >= 0
+    assert df.count() > 0

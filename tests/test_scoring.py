@@ -1,10 +1,8 @@
-"""rse_weight against a brute-force pandas version of the per-dataset,
-per-source loop (on a small fixture), and against the committed golden
-suggestion file of the reference (level 'rse' with thresholds)."""
+"""rse_weight against its definition in exact fractions (on a small fixture),
+and against a golden suggestion file (level 'rse' with thresholds)."""
 
-import math
 import os
-from decimal import ROUND_HALF_EVEN, ROUND_HALF_UP, Decimal
+from fractions import Fraction
 
 import pandas as pd
 import pytest
@@ -19,42 +17,63 @@ from conftest import FIXTURES
 METRICS = list(SC.WEIGHT_METRICS)
 
 
-def r3(x):
-    """Half-even rounding of the value taken to 12 decimals (the library's
-    documented rounding: float noise below 1e-12 does not decide a tie)."""
-    d = Decimal(repr(x)).quantize(Decimal("1e-12"), rounding=ROUND_HALF_UP)
-    return float(d.quantize(Decimal("0.001"), rounding=ROUND_HALF_EVEN))
-
-
-def brute_force(cand: pd.DataFrame, dist: pd.DataFrame, reps: pd.DataFrame, level: str) -> pd.DataFrame:
-    out = []
-    dmax = dist["agis_distance"].max()
-    for ds, g in reps.groupby("dataset"):
-        off = g[g["official"]]
-        dyn = g[~g["official"]][["rse", "available_TB", "official"]]
-        size = off.sort_values("rse")["TB"].iloc[0]
-        for src in off["rse"]:
-            d = dist[dist["source"] == src][["dest", "agis_distance"]]
-            res = cand.merge(d, left_on="rse", right_on="dest").drop(columns="dest")
-            res = res.rename(columns={"agis_distance": "distance_from_source"})
-            res["closeness"] = dmax - res["distance_from_source"]
-            res = res.merge(dyn, on="rse", how="outer")
-            res["dataset_size_TB"] = size
-            res["available_TB"] = res["available_TB"].fillna(0)
+def value(x) -> Fraction | None:
+    return None if x is None or x != x else Fraction(str(x))
+
+
+def thousandths(x: Fraction) -> Fraction:
+    return Fraction(round(x * 1000), 1000)  # Fraction rounds half to even
+
+
+def scored(rows: list[dict]) -> list[dict]:
+    """The definition on one (dataset, source): every metric is centred on the
+    mean of its known values, divided by their range and rounded; unknown
+    values and metrics without a range give 0; the weight is the sum."""
+    for row in rows:
+        row["weight"] = Fraction(0)
+    for metric in METRICS:
+        known = [v for v in (row[metric] for row in rows) if v is not None]
+        if known and max(known) > min(known):
+            mean, span = sum(known) / len(known), max(known) - min(known)
+            for row in rows:
+                if row[metric] is not None:
+                    row["weight"] += thousandths((row[metric] - mean) / span)
+    return rows
+
+
+def by_definition(cand: pd.DataFrame, dist: pd.DataFrame, reps: pd.DataFrame, level: str) -> dict[tuple, list[float]]:
+    """(dataset, source, rse, queue or site) -> sorted weights."""
+    far = int(dist["agis_distance"].max())
+    out: dict[tuple, list[float]] = {}
+    records = reps.to_dict("records")
+    for name in {r["name"] for r in records}:
+        copies = [(r["rse"], value(r["available_TB"]) or Fraction(0)) for r in records if r["name"] == name and not r["official"]]
+        for source in {r["rse"] for r in records if r["name"] == name and r["official"]}:
+            away = {d["dest"]: d["agis_distance"] for d in dist.to_dict("records") if d["source"] == source}
+            rows, seen = [], set()
+            for c in cand.to_dict("records"):
+                if c["rse"] not in away:
+                    continue
+                seen.add(c["rse"])
+                base = {m: value(c[m]) for m in METRICS if m in c} | {"closeness": Fraction(far - away[c["rse"]])}
+                keys = {k: (None if c[k] != c[k] else c[k]) for k in ("queue", *SC.ROLLUP_KEYS)}
+                for size in [v for e, v in copies if e == c["rse"]] or [Fraction(0)]:
+                    rows.append(keys | base | {"available_TB": size})
+            rows += [dict.fromkeys([*METRICS, "queue", *SC.ROLLUP_KEYS]) | {"rse": e, "available_TB": v} for e, v in copies if e not in seen]
             if level == "rse":
-                res = res.dropna(subset=["datetime", "rse", "site", "cloud", "tier_level"])
-                res = res.groupby(["datetime", "rse", "site", "cloud", "tier_level"], as_index=False)[
-                    METRICS + ["distance_from_source", "dataset_size_TB"]].max()
-            w = 0.0
-            for c in METRICS:
-                x = res[c].astype(float)
-                rng = x.max() - x.min()
-                n = ((x - x.mean()) / rng) if rng and not math.isnan(rng) else x * float("nan")
-                res["_n_" + c] = [0.0 if (v is None or math.isnan(v)) else r3(v) for v in n]
-            res["rse_weight"] = [r3(v) for v in res[["_n_" + c for c in METRICS]].sum(axis=1)]
-            res["dataset"], res["source_replica"] = ds, src
-            out.append(res)
-    return pd.concat(out, ignore_index=True)
+                groups: dict[tuple, dict] = {}
+                for row in rows:
+                    k = tuple(row[x] for x in SC.ROLLUP_KEYS)
+                    if None in k:
+                        continue
+                    g = groups.setdefault(k, dict(row))
+                    for m in METRICS:
+                        g[m] = max((v for v in (g[m], row[m]) if v is not None), default=None)
+                rows = list(groups.values())
+            for row in scored(rows):
+                k = ("mc:" + name, source, row["rse"], row["queue"] if level == "queue" else row["site"])
+                out.setdefault(k, []).append(float(row["weight"]))
+    return {k: sorted(v) for k, v in out.items()}
 
 
 CAND = pd.DataFrame([
@@ -76,34 +95,63 @@ REPS = pd.DataFrame([
 ], columns=["scope", "name", "rse", "official", "TB", "available_TB"])
 
 
-def spark_inputs(spark):
-    cand = spark.createDataFrame(CAND.astype(object).where(CAND.notna(), None),
+def more_rules(reps: pd.DataFrame, *rows) -> pd.DataFrame:
+    """Replica rows repeat once per rule on the endpoint."""
+    return pd.concat([reps, pd.DataFrame([("mc", *r) for r in rows], columns=reps.columns)], ignore_index=True)
+
+
+CASES = {
+    "single rules": (CAND, REPS),
+    "two expiring rules on an endpoint": (CAND, more_rules(REPS, ("a", "R1", False, 1.5, 0.7), ("b", "R3", False, 2.0, 1.1), ("b", "R3", False, 2.0, 1.1))),
+    "two permanent rules on an endpoint": (CAND, more_rules(REPS, ("a", "R0", True, 1.5, 1.5), ("b", "R5", True, 2.5, 2.5))),
+    "permanent and expiring rules on an endpoint": (CAND, more_rules(REPS, ("b", "R2", False, 2.0, 2.0), ("c", "R4", False, 0.3, 0.2), ("c", "R4", False, 0.3, 0.2))),
+    "a copy without a candidate, repeated": (CAND, more_rules(REPS, ("a", "R5", False, 1.5, 0.4))),
+    "unknown cloud": (CAND.assign(cloud=["C1", None, "C1", None, "C2"]), REPS),
+}
+
+
+def spark_inputs(spark, cand=CAND, reps=REPS):
+    cand = spark.createDataFrame(cand.astype(object).where(cand.notna(), None),
                                  "queue string, rse string, site string, cloud string, tier_level int, datetime string, "
                                  "queue_efficiency double, queue_occupancy double, Difference double, Unlocked double, "
                                  "transferring_availability long")
     dist = spark.createDataFrame(DIST, "source string, dest string, agis_distance int")
-    reps = spark.createDataFrame(REPS.astype(object).where(REPS.notna(), None),
+    reps = spark.createDataFrame(reps.astype(object).where(reps.notna(), None),
                                  "scope string, name string, rse string, official boolean, TB double, available_TB double")
     return cand, dist, reps
 
 
-def key(df, level):
-    k = ["dataset", "source_replica", "rse"] + (["queue"] if level == "queue" else ["site"])
-    return {tuple("" if (isinstance(v, float) and math.isnan(v)) or v is None else v for v in r[k]): r
-            for _, r in df.iterrows()}
+def weights(df, level) -> dict[tuple, list[float]]:
+    out: dict[tuple, list[float]] = {}
+    for r in df.collect():
+        out.setdefault((r.dataset, r.source_replica, r.rse, r.queue if level == "queue" else r.site), []).append(r.rse_weight)
+    return {k: sorted(v) for k, v in out.items()}
+
+
+@pytest.mark.parametrize("level", ["queue", "rse"])
+@pytest.mark.parametrize("case", list(CASES))
+def test_weights_follow_the_definition(spark, case, level):
+    cand, reps = CASES[case]
+    expected = by_definition(cand, DIST, reps, level)
+    got = weights(SC.rse_weight(*spark_inputs(spark, cand, reps), level=level), level)
+    assert got.keys() == expected.keys()
+    for k in expected:
+        assert got[k] == pytest.approx(expected[k], abs=1e-9), k
 
 
 @pytest.mark.parametrize("level", ["queue", "rse"])
-def test_weights_match_brute_force(spark, level):
-    exp = brute_force(CAND, DIST, REPS.assign(dataset=REPS["scope"] + ":" + REPS["name"]), level)
-    got = SC.rse_weight(*spark_inputs(spark), level=level).toPandas()
-    assert len(got) == len(exp)
-    e, g = key(exp, level), key(got, level)
-    assert set(e) == set(g)
-    for k in e:
-        assert g[k]["rse_weight"] == pytest.approx(e[k]["rse_weight"], abs=1e-9), k
-        assert g[k]["available_TB"] == pytest.approx(e[k]["available_TB"]), k
-        assert g[k]["dataset_size_TB"] == pytest.approx(e[k]["dataset_size_TB"]), k
+def test_salting_changes_nothing(spark, level):
+    inputs = spark_inputs(spark)
+    whole = sorted(map(str, SC.rse_weight(*inputs, level=level).collect()))
+    assert whole == sorted(map(str, SC.rse_weight(*inputs, level=level, rows_per_task=2).collect()))
+
+
+def test_no_hint_and_no_output_sized_join(spark):
+    """Candidate rows meet the pairs once; nothing is joined after that."""
+    plan = SC.rse_weight(*spark_inputs(spark))._jdf.queryExecution().optimizedPlan().toString()
+    assert "hint" not in plan.lower()
+    after = plan.split("Generate explode", 1)[0]
+    assert "Join" not in after
 
 
 def test_scoring_together_equals_scoring_alone(spark):
@@ -144,9 +192,9 @@ SOURCE = "TOKYO-LCG2_DATADISK"
 
 
 def test_golden_suggestion(spark):
-    queues = read_snapshot(spark, os.path.join(FIXTURES, "eligible_snapshot.csv"), FILTERED)
-    metrics = read_snapshot(spark, os.path.join(FIXTURES, "metrics_snapshot.csv"), METRICS_SNAP)
-    storage = read_snapshot(spark, os.path.join(FIXTURES, "storage_snapshot.csv"), STORAGE_SNAP)
+    queues = read_snapshot(spark, os.path.join(FIXTURES, "filtered.csv"), FILTERED)
+    metrics = read_snapshot(spark, os.path.join(FIXTURES, "queues_metrics.csv"), METRICS_SNAP)
+    storage = read_snapshot(spark, os.path.join(FIXTURES, "storage_info.csv"), STORAGE_SNAP)
     cand = CA.merged_candidates(queues, metrics, storage)
     assert cand.count() == 109
     golden = pd.read_csv(os.path.join(FIXTURES, "suggestion_golden.csv"), index_col=0)
@@ -177,18 +225,10 @@ def test_golden_efficiency_and_zero_occupancy(spark):
 
     from gridplace.operators.queues import efficiency_expr
 
-    m = read_snapshot(spark, os.path.join(FIXTURES, "metrics_snapshot.csv"), METRICS_SNAP)
+    m = read_snapshot(spark, os.path.join(FIXTURES, "queues_metrics.csv"), METRICS_SNAP)
     got = m.select("queue", "queue_efficiency", efficiency_expr("finished", "failed").alias("mine")).collect()
     assert len(got) == 112
     assert all(r.mine == pytest.approx(r.queue_efficiency, abs=1e-12) for r in got)
     # queues with nothing queued and occupancy 0 can only come from activated = 0 (NULL-propagating GREATEST)
     zero = m.filter((F.col("queued") == 0) & (F.col("queue_occupancy") == 0)).count()
     assert zero == 3
-
-
-@pytest.mark.parametrize("level", ["queue", "rse"])
-def test_salted_expansion_equals_broadcast(spark, level):
-    cand, dist, reps = spark_inputs(spark)
-    a = {tuple(r) for r in SC.rse_weight(cand, dist, reps, level=level).collect()}
-    b = {tuple(r) for r in SC.rse_weight(cand, dist, reps, level=level, max_broadcast_rows=0, salt_buckets=3).collect()}
-    assert a == b and len(a) > 0

@@ -1,0 +1,160 @@
+"""Nothing is lost without a word: every case here ends in an error, in a
+kept row, or in a visibly pruned scan."""
+
+import datetime as dt
+import os
+
+import pytest
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from gridplace.functions import sql_round, trailing_window
+from gridplace.operators import catalogue as C
+from gridplace.operators import jobs as J
+from gridplace.operators import latency as L
+from gridplace.operators import popularity as POP
+from gridplace.operators import replicas as R
+from gridplace.operators import scoring as SC
+from gridplace.operators import topology as TO
+from gridplace.session import _tables_folder, drop_tables, materialize
+from gridplace.sources.nested import parse_queue_catalogue, parse_storage_json
+from gridplace.sources.readers import read_snapshot, read_table
+from gridplace.sources.sinks import write_report, write_suggestions
+
+#: How a failed task reaches Python.
+FAILURE = (PySparkException, Py4JJavaError)
+
+
+@pytest.mark.parametrize("days, kept", [(0.5, 1), (0.2, 0), (1.5, 2), (1, 1)])
+def test_fraction_of_a_day(spark, days, kept):
+    now = dt.datetime(2024, 1, 2)
+    df = spark.createDataFrame([(now - dt.timedelta(hours=6),), (now - dt.timedelta(hours=30),)], "ts timestamp_ntz")
+    assert df.filter(trailing_window("ts", now, days)).count() == kept
+
+
+@pytest.mark.parametrize("line", ['{"Q2": {"rc_site": "S"', '{"Q2": {"tier_level": "two"}}'])
+def test_malformed_queue_record_is_an_error(spark, line):
+    raw = spark.createDataFrame([('{"Q1": {"rc_site": "S"}}',), (line,)], "value string")
+    with pytest.raises(FAILURE):
+        parse_queue_catalogue(raw).collect()
+
+
+def test_malformed_storage_record_is_an_error(spark):
+    with pytest.raises(FAILURE):
+        parse_storage_json(spark.createDataFrame([('{"R": {"Unlocked": ',)], "value string")).collect()
+
+
+SNAP = T.StructType([T.StructField("queue", T.StringType()), T.StructField("n", T.IntegerType())])
+
+
+def test_snapshot_with_bad_cell_or_header_is_an_error(spark, tmp_path):
+    good, bad, swapped = (str(tmp_path / f"{n}.csv") for n in ("good", "bad", "swapped"))
+    for path, text in ((good, ",queue,n\n0,Q1,5\n"), (bad, ",queue,n\n0,Q1,five\n"), (swapped, ",n,queue\n0,5,Q1\n")):
+        with open(path, "w") as f:
+            f.write(text)
+    assert [tuple(r) for r in read_snapshot(spark, good, SNAP).collect()] == [("Q1", 5)]
+    with pytest.raises(FAILURE):
+        read_snapshot(spark, bad, SNAP).collect()
+    with pytest.raises(ValueError):
+        read_snapshot(spark, swapped, SNAP)
+
+
+def test_unknown_storage_metric_is_an_error(spark):
+    raw = parse_storage_json(spark.createDataFrame([('{"R_DATADISK": {"Unlocked": "1", "Brand new": "2"}}',)], "value string"))
+    with pytest.raises(FAILURE, match="Brand new"):
+        C.storage_info(raw, "2024-01-01").collect()
+    assert C.storage_info(raw, "2024-01-01", unknown="ignore").collect()[0]["Unlocked"] == 1.0
+    more = C.storage_info(raw, "2024-01-01", metrics=(*C.STORAGE_METRICS, "Brand new")).collect()[0]
+    assert more["Brand new"] == 2.0
+
+
+def test_two_values_of_an_attribute_are_an_error(spark):
+    attrs = spark.createDataFrame([(1, "site", "A"), (1, "site", "B"), (2, "site", "A"), (2, "site", "A")], "rse_id long, key string, value string")
+    assert TO.rse_attributes(attrs.filter("rse_id = 2"), ("site",)).collect()[0].site == "A"
+    with pytest.raises(FAILURE, match="two values"):
+        TO.rse_attributes(attrs, ("site",)).collect()
+
+
+def test_rounding_beyond_the_decimal_is_an_error(spark):
+    df = spark.createDataFrame([(1e21,)], "x double")
+    assert df.select(sql_round("x", 2)).collect()[0][0] == 1e21
+    with pytest.raises(FAILURE):
+        df.select(sql_round(F.col("x") * 1e10, 2)).collect()
+
+
+def test_rule_on_a_container_counts_for_the_dataset_asked_for(spark):
+    attrs = spark.createDataFrame([(1, "site", "S")], "rse_id long, key string, value string")
+    rses = spark.createDataFrame([(1, "R1")], "rse_id long, rse string")
+    reps = spark.createDataFrame(
+        [("mc", "d", "R1", 1, 10, 1, 10, 1, "AVAILABLE", None, None, None)],
+        "scope string, name string, rse string, rse_id long, bytes long, length long, available_bytes long, available_length long, "
+        "state string, created_at timestamp_ntz, updated_at timestamp_ntz, accessed_at timestamp_ntz")
+    history = spark.createDataFrame([("r1", "mc", "container", "R1", "production", "mc", "d")],
+                                    "rule_id string, scope string, name string, rse_expression string, account string, requested_scope string, requested_name string")
+    details = spark.createDataFrame([("r1", "DATASET", 1.0, None, "Production", False)],
+                                    "id string, did_type string, copies double, expires_at timestamp_ntz, activity string, split_container boolean")
+    asked = R.dataset_replicas(reps, history, details, attrs, rses, "2024-01-01").collect()
+    assert [(r.name, r.official, r.has_rule) for r in asked] == [("d", True, True)]
+    own = R.dataset_replicas(reps, history.drop("requested_scope", "requested_name"), details, attrs, rses, "2024-01-01").collect()
+    assert [(r.name, r.official, r.has_rule) for r in own] == [("d", False, False)]
+
+
+def test_window_prunes_the_days_of_a_partitioned_table(spark, tmp_path):
+    rows = [(i, "Q1", "running", dt.datetime(2024, 1, 1 + i % 20, 5), "user", dt.date(2024, 1, 1 + i % 20)) for i in range(60)]
+    spark.createDataFrame(rows, "pandaid long, computingsite string, jobstatus string, modificationtime timestamp_ntz, prodsourcelabel string, day date") \
+        .write.partitionBy("day").parquet(str(tmp_path / "jobs.parquet"))
+    table = read_table(spark, "jobs", path=str(tmp_path))
+    pruned = J.select_jobs(table, "2024-01-10", 1, partition_col="day")
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
+    assert len(pruned.inputFiles()) == len(table.filter("day in (date '2024-01-09', date '2024-01-10')").inputFiles())
+    whole = J.select_jobs(table, "2024-01-10", 1)
+    assert sorted(map(str, pruned.collect())) == sorted(map(str, whole.collect())) and pruned.count() == 3
+    active = spark.createDataFrame([(i, 1, "Q1") for i in range(60)], "pandaid long, jeditaskid long, computingsite string")
+    assert "PartitionFilters: [isnotnull(day" in L.task_status_times(table, active, "2024-01-10", 1, partition_col="day")._jdf.queryExecution().executedPlan().toString()
+    tasks = table.select(F.col("pandaid").alias("jeditaskid"), F.lit("u").alias("username"), F.lit("anal").alias("tasktype"), "modificationtime", F.col("modificationtime").alias("endtime"), "day")
+    used = spark.createDataFrame([(1, "mc.DAOD", "input", None)], "jeditaskid long, datasetname string, type string, masterid long")
+    assert "PartitionFilters: [isnotnull(day" in POP.dataset_popularity(tasks, used, "2024-01-10", partition_col="day")._jdf.queryExecution().executedPlan().toString()
+
+
+def files(path) -> list[str]:
+    return sorted(os.path.join(d, f) for d, _, names in os.walk(path) for f in names if f.startswith("part-"))
+
+
+def test_suggestions_are_one_file_per_pair(spark, tmp_path):
+    df = spark.range(3000).select(
+        F.concat(F.lit("mc:"), F.col("id") % 7).alias("dataset"), F.concat(F.lit("R"), F.col("id") % 3).alias("source_replica"), F.col("id").alias("rse_weight")
+    ).repartition(16)
+    write_suggestions(df, str(tmp_path / "s"))
+    assert len(files(tmp_path / "s")) == 21
+    assert spark.read.parquet(str(tmp_path / "s")).count() == 3000
+
+
+def test_report_is_written_in_order(spark, tmp_path):
+    df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("x")).repartition(8)
+    write_report(df, str(tmp_path / "r"), [F.desc("x")])
+    got = [r.x for f in files(tmp_path / "r") for r in spark.read.parquet(f).collect()]
+    assert got == sorted(range(5000), reverse=True)
+
+
+def test_tables_of_a_session_are_deleted(spark):
+    t = materialize(spark.range(5), "five")
+    assert t.count() == 5
+    folder = _tables_folder(spark)
+    assert os.path.isdir(folder)
+    drop_tables(spark)
+    assert not os.path.exists(folder)
+
+
+def test_thresholds_band_rollup_and_list_together(spark):
+    from test_scoring import CAND, DIST, REPS, by_definition, spark_inputs, weights
+
+    cand, dist, reps = spark_inputs(spark)
+    only = spark.createDataFrame([("mc", "b")], "scope string, name string")
+    got = SC.rse_weight(cand, dist, reps, level="rse", thresholds={"Difference": (">", 10)}, band=(0, 4), datasets=only)
+    near = DIST[(DIST["agis_distance"] > 0) & (DIST["agis_distance"] < 4)]
+    # closeness counts from the largest distance of all pairs; the shift cancels in the normalisation
+    expected = by_definition(CAND[CAND["Difference"] > 10], near, REPS[REPS["name"] == "b"], "rse")
+    assert weights(got, "rse") == {k: pytest.approx(v, abs=1e-9) for k, v in expected.items()}
