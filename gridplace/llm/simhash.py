@@ -101,6 +101,10 @@ def signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
+def long_lit(x: int) -> Column:
+    return F.lit(signed(x)).cast("long")
+
+
 def choices(max_bits: int) -> list[int]:
     """Masks of the bits on which a linked pair agrees for some choice."""
     return [a | b | c for a, b, c in combinations(cut_bits((1 << BITS) - 1, max_bits + AGREE), AGREE)]
@@ -110,7 +114,7 @@ def file_under(fps: DataFrame, masks: Column) -> DataFrame:
     """fp filed under each mask: file (mask and the bits under it), near
     (distance to the first pivot)."""
     return fps.select("fp", F.explode(masks).alias("mask")).select(
-        "mask", F.col("fp").bitwiseAND(F.col("mask")).alias("bits"), F.bit_count(F.col("fp").bitwiseXOR(F.lit(signed(int(pivots()[0]))))).alias("near"), "fp"
+        "mask", F.col("fp").bitwiseAND(F.col("mask")).alias("bits"), F.bit_count(F.col("fp").bitwiseXOR(long_lit(int(pivots()[0])))).alias("near"), "fp"
     )
 
 
@@ -247,11 +251,11 @@ def links(fps: DataFrame, max_bits: int, max_file: int = FIRST_FILE) -> DataFram
         dealt = filed.repartition(*by_file).sortWithinPartitions(*by_file, "near")
         return map_arrow(dealt, linker(max_bits, limit), schema)
 
-    first = F.array(*[F.lit(signed(m)) for m in choices(max_bits)])
+    first = F.array(*[long_lit(m) for m in choices(max_bits)])
     found = materialize(meet(file_under(fps, first), max_file), "simhash_links")
     second = F.create_map(*[
         x for m in choices(max_bits)
-        for x in (F.lit(signed(m)), F.array(*[F.lit(signed(m | a | b | c)) for a, b, c in combinations(cut_bits(~m & ((1 << BITS) - 1), max_bits + AGREE), AGREE)]))
+        for x in (long_lit(m), F.array(*[long_lit(m | a | b | c) for a, b, c in combinations(cut_bits(~m & ((1 << BITS) - 1), max_bits + AGREE), AGREE)]))
     ])
     # a fingerprint may come from several crowded files
     crowded = found.filter(F.col("kind") == FILE).select(F.col("a").alias("fp"), "mask")
