@@ -7,8 +7,8 @@ are joined; around each hit the document's windows are cut out and joined
 with the benchmark's windows word for word, which extends the hits and
 removes chance agreements of hashes.
 
-The fingerprint pass runs inside generated code: the words of a window lie
-side by side as fields of one exploded struct, so no lambda is run per word.
+The fingerprint pass lays shifted copies of a text's hash array side by side,
+so a window is one struct and needs no indexing.
 Kept document hashes are a third of the positions; the benchmark's are a
 table of its own, so the planner knows its size and broadcasts it only below
 the session's threshold, and joins by a shuffle above it.
@@ -55,25 +55,24 @@ def winnow(df: DataFrame, words: Column, length: int, *keep: str) -> DataFrame:
     ``length - k`` windows earlier.
     """
     k = min(MAX_K, length)
-    n = F.size("_w")
-    n_windows = F.greatest(n - F.lit(length - 1), F.lit(0))
-    hashed = df.select(*keep, words.alias("_w")).select(*keep, n.alias("n_words"), F.transform("_w", lambda w: F.xxhash64(w)).alias("_w"))
-    shifted = [F.slice("_w", F.lit(j + 1), n_windows).alias(f"h{j}") for j in range(length)]
-    before = F.concat(F.array(F.lit(None).cast("long")), F.slice("_w", F.lit(1), F.greatest(n_windows - 1, F.lit(0)))).alias("prev")
-    rows = hashed.select(*keep, "n_words", F.posexplode_outer(F.when(n_windows > 0, F.arrays_zip(before, *shifted))).alias("at", "_s"))
-    h = [F.col(f"_s.h{j}") for j in range(length)]
-    grams = [F.xxhash64(*h[j : j + k]) for j in range(length - k + 1)]
-    rows = rows.select(
-        *keep, "n_words", "at", "_s",
-        F.xxhash64(F.col("_s.prev"), *h[: k - 1]).alias("_left"),
-        *[g.alias(f"_g{j}") for j, g in enumerate(grams)],
-    )
-    names = [F.col(f"_g{j}") for j in range(len(grams))]
-    least = lambda cols: F.least(*cols) if len(cols) > 1 else cols[0]
+    many = length - k + 1  # k-grams of a window
+    side_by_side = lambda c, n, size: F.arrays_zip(*[F.slice(c, F.lit(j + 1), size).alias(f"x{j}") for j in range(n)])
+    parts = lambda x, n: [x[f"x{j}"] for j in range(n)]
+    left = lambda c, n: F.greatest(F.size(c) - F.lit(n - 1), F.lit(0))
+    rows = df.select(*keep, words.alias("_w"))
+    rows = rows.select(*keep, F.size("_w").alias("n_words"), F.transform("_w", lambda w: F.xxhash64(w)).alias("_h"))
+    rows = rows.select(*keep, "n_words", F.transform(side_by_side("_h", k, left("_h", k)), lambda x: F.xxhash64(*parts(x, k))).alias("_g"))
+    smallest = F.transform(side_by_side("_g", many, left("_g", many)), lambda x: F.least(*parts(x, many))) if many > 1 else F.col("_g")
+    rows = rows.select(*keep, "n_words", "_g", smallest.alias("_m"))
+    before = F.concat(F.array(F.lit(None).cast("long")), F.slice("_m", F.lit(1), left("_m", 2)))
+    entering = F.slice("_g", F.lit(many), F.size("_m"))
+    windows = F.arrays_zip(F.col("_m").alias("m"), before.alias("before"), entering.alias("entering"))
+    rows = rows.select(*keep, "n_words", F.posexplode_outer(F.when(F.size("_m") > 0, windows)).alias("at", "_s"))
     first = F.coalesce(F.col("at") == 0, F.lit(True))
-    smallest = least(names)
-    new = first | (smallest != least([F.col("_left"), *names[:-1]])) | (names[-1] == smallest)
-    return rows.filter(new).select(*keep, "n_words", first.alias("first"), "at", F.when(F.col("at").isNotNull(), smallest).alias("fingerprint"))
+    m = F.col("_s.m")
+    return rows.filter(first | (m != F.col("_s.before")) | (m == F.col("_s.entering"))).select(
+        *keep, "n_words", first.alias("first"), "at", m.alias("fingerprint")
+    )
 
 
 def covered(spans: Column) -> Column:
