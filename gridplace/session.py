@@ -66,7 +66,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 _OWN_FOLDERS: dict[str, str] = {}
 
 
-def _tables_folder(spark: SparkSession) -> str:
+def tables_folder(spark: SparkSession) -> str:
+    """The session's own folder below the shared one; ``drop_tables`` deletes it."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/gridplace-{spark.sparkContext.applicationId}"
 
 
@@ -81,7 +82,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     without that call it goes when the driver's Python ends.
     """
     spark = df.sparkSession
-    folder = _tables_folder(spark)
+    folder = tables_folder(spark)
     if folder not in _LIVE:
         _LIVE.add(folder)
         atexit.register(_drop_at_exit, spark, folder)
@@ -102,7 +103,7 @@ def _delete(spark: SparkSession, folder: str) -> None:
 def drop_tables(spark: SparkSession) -> None:
     """Delete all tables that ``materialize`` wrote in this session; the
     DataFrames that read them end with it."""
-    folder = _tables_folder(spark)
+    folder = tables_folder(spark)
     _delete(spark, folder)
     _LIVE.discard(folder)
 

@@ -18,7 +18,7 @@ from gridplace.operators import popularity as POP
 from gridplace.operators import replicas as R
 from gridplace.operators import scoring as SC
 from gridplace.operators import topology as TO
-from gridplace.session import _tables_folder, drop_tables, materialize
+from gridplace.session import drop_tables, materialize, tables_folder
 from gridplace.sources.nested import parse_queue_catalogue, parse_storage_json
 from gridplace.sources.readers import read_snapshot, read_table
 from gridplace.sources.sinks import write_report, write_suggestions
@@ -142,7 +142,7 @@ def test_report_is_written_in_order(spark, tmp_path):
 def test_tables_of_a_session_are_deleted(spark):
     t = materialize(spark.range(5), "five")
     assert t.count() == 5
-    folder = _tables_folder(spark)
+    folder = tables_folder(spark)
     assert os.path.isdir(folder)
     drop_tables(spark)
     assert not os.path.exists(folder)
