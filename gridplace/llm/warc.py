@@ -36,7 +36,8 @@ import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridplace.llm.common import ensure_checkpoint_dir, map_arrow, materialize
+from gridplace.llm.common import map_arrow, materialize
+from gridplace.session import tables_folder
 
 BLOCK = 1 << 16
 #: Fixed values of the format.
@@ -302,7 +303,7 @@ def read_warc(archives: DataFrame, with_payload: bool = False) -> DataFrame:
 
 
 def archive_folder(spark: SparkSession) -> str:
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
+    return f"{tables_folder(spark)}/warc-{uuid.uuid4().hex}"
 
 
 def through_warc(pages: DataFrame) -> DataFrame:
