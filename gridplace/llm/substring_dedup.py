@@ -16,7 +16,9 @@ Steps, all linear in the input:
 1. blocks of all documents (map), equal blocks of one task combined there,
    so a passage that a third of all documents share sends one row per task;
 2. blocks meet by k-gram; a sorted stream finds repeated blocks and the
-   k-grams whose blocks differ, holding one row at a time;
+   k-grams whose blocks differ, holding one row at a time; a k-gram with
+   several blocks in one task (the edge of a frequent passage) is known to
+   differ already, so its blocks are dealt by k-gram and block together;
 3. windows of the differing blocks meet the same way;
 4. spans are joined back by document and the words removed.
 
@@ -49,7 +51,9 @@ SLICE_CHARS = 1 << 20
 BLOCK_BYTES = 1 << 20
 #: Rows a task combines before it hands them on.
 COMBINE_ROWS = 1 << 20
-SPAN, BLOCK, BOUNDARY = 0, 1, 2
+#: Kinds of rows.  A p with several q in one task is crowded there: its rows
+#: are MULTI and dealt by p and q together, and a CROWD row tells p's other rows.
+SPAN, BLOCK, BOUNDARY, MULTI, CROWD = range(5)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -208,59 +212,95 @@ class Combiner:
         if len(spans):
             yield rows(SPAN, key[spans], np.zeros(len(spans), np.int64), ids.take(pa.array(spans)), key[spans], at[spans], n[spans], np.ones(len(spans), bool))
         on = order[~later]
-        yield rows(BLOCK, p[on], q[on], ids.take(pa.array(on)), key[on], at[on], n[on], settled[on] | double[~later])
-
-
-def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (p, q): those whose (p, q) occurs twice become spans;
-    of a p with several q, one row of each q goes on as a boundary.  One row
-    is held back, so equal rows without end need no memory."""
-    held: pa.RecordBatch | None = None
-    before: tuple | None = None  # p and q of the row before the held one, and whether its q was the first of its p
-    for batch in _with_end(batches):
-        if batch is None:
-            if held is None:
+        flags = settled[on] | double[~later]
+        same_p = p[on][1:] == p[on][:-1]
+        crowded = np.concatenate(([False], same_p)) | np.concatenate((same_p, [False]))
+        for kind, pick in ((BLOCK, ~crowded), (MULTI, crowded)):
+            i = on[pick]
+            if len(i):
+                deal = p[i] if kind == BLOCK else spread(p[i], q[i])
+                yield rows(kind, deal, q[i], ids.take(pa.array(i)), key[i], at[i], n[i], flags[pick])
+        crowds = np.unique(p[on][crowded])
+        if len(crowds):
+            zero = np.zeros(len(crowds), np.int64)
+            yield rows(CROWD, crowds, np.full(len(crowds), np.iinfo(np.int64).min), pa.nulls(len(crowds), ids.type), zero, zero, zero, zero)
+
+
+def spread(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Where rows of a crowded p are dealt to: by p and q together."""
+    return mix(p ^ (q * np.uint64(0x9E3779B97F4A7C15)))
+
+
+def settler(kind: int):
+    """Rows sorted by (p, q) -> spans and boundaries; other kinds pass.
+
+    BLOCK: rows whose (p, q) occurs twice become spans; of a p with several q,
+    one row of each q is a boundary; rows of a p that is crowded in some task
+    (its CROWD row sorts first) go on as MULTI.  MULTI: p is known to have
+    several q, so one row of each (p, q) is a boundary.  One row is held back,
+    so equal rows without end need no memory.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.RecordBatch | None = None
+        before: tuple | None = None  # of the row before the held one: p, q, is q the first of its p, is p crowded
+        for batch in _with_end(batches):
+            last = batch is None
+            if last and held is None:
                 return
-            table, last = held, True
-        else:
-            table = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-            last = False
-        size = table.num_rows
-        ready = size if last else size - 1
-        p, q = table.column(1).to_numpy(), table.column(2).to_numpy()
-        kind = table.column(0).to_numpy()
-        block = kind == BLOCK
-        if ready:
-            prev_p = np.concatenate(([p[0] if before else 0], p[:-1]))
-            prev_q = np.concatenate(([0], q[:-1]))
-            has_prev = np.ones(size, bool)
-            has_prev[0] = before is not None
-            if before:
-                prev_p[0], prev_q[0] = before[0], before[1]
-            as_prev_p = has_prev & (p == prev_p)
-            as_prev = as_prev_p & (q == prev_q)
-            as_next = np.append(as_prev[1:], False)
-            next_p = np.append(as_prev_p[1:], False)
-            # per run of equal (p, q): is it the first of its p?
-            start = ~as_prev
-            run_first = np.where(start, ~as_prev_p, False)
-            run = np.cumsum(start) - 1
-            firsts = run_first[start]
-            first = np.where(run >= 0, firsts[np.maximum(run, 0)] if len(firsts) else False, before[2] if before else True)
-            settled = table.column(7).to_numpy(zero_copy_only=False)
-            double = as_prev | as_next
-            out = np.flatnonzero((~block | (double & ~settled))[:ready])
-            if len(out):
-                t = table.take(pa.array(out))
-                yield rows(SPAN, np.zeros(len(out), np.int64), np.zeros(len(out), np.int64), t.column(3), t.column(4).to_numpy(), t.column(5).to_numpy(), t.column(6).to_numpy(), np.ones(len(out), bool))
-            edge = np.flatnonzero((block & ~as_next & (next_p | ~first))[:ready])
-            if len(edge):
-                t = table.take(pa.array(edge))
-                yield rows(BOUNDARY, np.zeros(len(edge), np.int64), np.zeros(len(edge), np.int64), t.column(3), t.column(4).to_numpy(), t.column(5).to_numpy(), t.column(6).to_numpy(), (double | settled)[edge])
-            before = (p[ready - 1], q[ready - 1], bool(first[ready - 1]))
-        held = None if last else table.slice(ready)
-        if last:
-            return
+            if last:
+                table = held
+            else:
+                table = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            size = table.num_rows
+            ready = size if last else size - 1
+            if ready:
+                kinds = table.column(0).to_numpy()
+                p, q = table.column(1).to_numpy(), table.column(2).to_numpy()
+                settled = table.column(7).to_numpy(zero_copy_only=False)
+                mine = kinds == kind
+                same_p = np.empty(size, bool)
+                same_p[0] = before is not None and p[0] == before[0]
+                same_p[1:] = p[1:] == p[:-1]
+                same = same_p.copy()
+                same[0] = same_p[0] and q[0] == before[1]
+                same[1:] &= q[1:] == q[:-1]
+                next_p, next_same = np.append(same_p[1:], False), np.append(same[1:], False)
+
+                def from_start(start: np.ndarray, value: np.ndarray, carried: bool) -> np.ndarray:
+                    """The value at the start of each row's run."""
+                    run = np.cumsum(start) - 1
+                    at = np.flatnonzero(start)
+                    return np.where(run >= 0, value[at[np.maximum(run, 0)]] if len(at) else carried, carried)
+
+                first = from_start(~same, ~same_p, before[2] if before else True)
+                crowded = from_start(~same_p, kinds == CROWD, before[3] if before else False)
+                double = same | next_same
+                if kind == MULTI:
+                    edge = mine & ~next_same
+                    onward = np.zeros(size, bool)
+                else:
+                    edge = mine & ~crowded & ~next_same & (next_p | ~first)
+                    onward = mine & crowded
+                span = (kinds == SPAN) | (mine & ~onward & double & ~settled)
+                onward |= (kinds == MULTI) & ~mine
+
+                def out(what: int, pick: np.ndarray, flags: np.ndarray, hashes: bool = False) -> Iterator[pa.RecordBatch]:
+                    at = np.flatnonzero(pick[:ready])
+                    if len(at):
+                        t = table.take(pa.array(at))
+                        u, v = p[at].view(np.uint64), q[at].view(np.uint64)
+                        u = np.where(kinds[at] == MULTI, u, spread(u, v)) if hashes else np.zeros(len(at), np.uint64)
+                        yield rows(what, u, v, t.column(3), t.column(4).to_numpy(), t.column(5).to_numpy(), t.column(6).to_numpy(), flags[at])
+
+                yield from out(SPAN, span, np.ones(size, bool))
+                yield from out(BOUNDARY, edge, double | settled)
+                yield from out(MULTI, onward, settled, hashes=True)
+                before = (p[ready - 1], q[ready - 1], bool(first[ready - 1]), bool(crowded[ready - 1]))
+            held = None if last else table.slice(ready)
+            if last:
+                return
+
+    return run
 
 
 def _with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
@@ -270,9 +310,9 @@ def _with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | No
     yield None
 
 
-def meet(found: DataFrame, id_type: str) -> DataFrame:
+def meet(found: DataFrame, id_type: str, kind: int = BLOCK) -> DataFrame:
     """Deal rows by p and settle equal ones.  Spans travel by their document."""
-    return map_arrow(found.repartition("p").sortWithinPartitions("p", "q"), settle, schema(id_type))
+    return map_arrow(found.repartition("p").sortWithinPartitions("p", "q"), settler(kind), schema(id_type))
 
 
 def repeated_spans(docs: DataFrame, window: int, id_type: str) -> DataFrame:
@@ -289,9 +329,9 @@ def repeated_spans(docs: DataFrame, window: int, id_type: str) -> DataFrame:
                 yield from combine.add(gram, block, batch.column(0).take(pa.array(who)), keys[who], at, n, np.zeros(len(at), bool))
         yield from combine.flush()
 
-    first = materialize(
-        meet(map_arrow(docs, find, schema(id_type)), id_type).select("kind", "doc_id", "key", "at", "n", "settled"), "repeated_blocks"
-    )
+    first = materialize(meet(map_arrow(docs, find, schema(id_type)), id_type), "repeated_blocks")
+    crowded = materialize(meet(first.filter(F.col("kind") == MULTI), id_type, MULTI), "crowded_blocks")
+    first = first.unionByName(crowded)
     edges = first.filter(F.col("kind") == BOUNDARY).groupBy("doc_id", "key").agg(F.collect_list(F.struct("at", "n", "settled")).alias("spans"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
