@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gridplace.session import ensure_checkpoint_dir, materialize
 
-__all__ = ["ensure_checkpoint_dir", "materialize", "table", "text_or_empty", "row_key", "text_slices", "map_arrow", "fresh"]
+__all__ = ["ensure_checkpoint_dir", "materialize", "table", "text_or_empty", "row_key", "text_slices", "map_arrow", "fresh", "keep_rows"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,23 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str, key: Column) -> DataFrame:
+    """The rows of ``docs`` whose id and key are in ``kept`` (id, key), one of
+    each, all columns unchanged.
+
+    The NULL-safe id is spelled out as columns, so that the join and the
+    removal of repeated rows agree on one partitioning and texts are shuffled
+    once.
+    """
+    names = [fresh(docs, n) for n in ("_id", "_no_id", "_key")]
+    parts = lambda i, k: (F.coalesce(i.cast("string"), F.lit("")), i.isNull(), k)
+    left = docs.withColumns(dict(zip(names, parts(F.col(id_col), key))))
+    theirs = [fresh(left, f"_kept{n}") for n in names]
+    right = kept.select(*[c.alias(n) for n, c in zip(theirs, parts(F.col("id"), F.col("key")))])
+    same = [F.col(n) == F.col(t) for n, t in zip(names, theirs)]
+    return left.join(right, same, "left_semi").dropDuplicates(names).drop(*names)
+
+
 def text_slices(texts: list[str], max_chars: int) -> Iterator[tuple[int, int]]:
     """Ranges of ``texts`` of at most ``max_chars`` characters each (a longer
     text is a range of its own), so that a batch of very long texts does not

@@ -22,7 +22,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridplace.llm.common import fresh, materialize, text_or_empty
+from gridplace.llm.common import keep_rows, materialize, text_or_empty
 
 #: Slots of the sketch per reported digest: its error is then well below the share that makes a digest hot.
 SLOTS_PER_COUNTER = 32
@@ -83,13 +83,7 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     A kept row is found again by its id and digest; repeated rows share both,
     and one of them stays.
     """
-    digest, kept_id, kept_digest = (fresh(docs, c) for c in ("_digest", "_kept_id", "_kept_digest"))
     kept = materialize(
-        exact_dedup(docs, id_col, text_col)
-        .filter("kept")
-        .select(F.col("doc_id").alias(kept_id), F.col("text_sha256").alias(kept_digest)),
-        "kept_digests",
+        exact_dedup(docs, id_col, text_col).filter("kept").select(F.col("doc_id").alias("id"), F.col("text_sha256").alias("key")), "kept_digests"
     )
-    same = F.col(id_col).eqNullSafe(F.col(kept_id)) & (F.col(digest) == F.col(kept_digest))
-    found = docs.withColumn(digest, F.sha2(text_or_empty(text_col), 256)).join(kept, same, "left_semi")
-    return found.dropDuplicates([id_col, digest]).drop(digest)
+    return keep_rows(docs, kept, id_col, F.sha2(text_or_empty(text_col), 256))

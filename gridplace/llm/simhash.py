@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridplace.llm.common import fresh, map_arrow, materialize, row_key, text_or_empty
+from gridplace.llm.common import keep_rows, map_arrow, materialize, row_key, text_or_empty
 
 BITS = 64
 N_PIVOTS = 24
@@ -314,8 +314,5 @@ def keep_one_of_each_component(
     """The row of ``docs`` with the smallest id of each component, all columns
     unchanged; of rows that repeat its id and text one stays."""
     _, named = grouped(docs, words_per_shingle, max_bits, id_col, text_col, max_file)
-    row, least, least_key = (fresh(docs, c) for c in ("_row", "_least", "_least_key"))
-    stays = materialize(named.select(F.col("least.doc_id").alias(least), F.col("least.key").alias(least_key)).distinct(), "component_firsts")
-    same = F.col(id_col).eqNullSafe(F.col(least)) & (F.col(row) == F.col(least_key))
-    found = docs.withColumn(row, row_key(text_col)).join(stays, same, "left_semi")
-    return found.dropDuplicates([id_col, row]).drop(row)
+    stays = materialize(named.select(F.col("least.doc_id").alias("id"), F.col("least.key").alias("key")).distinct(), "component_firsts")
+    return keep_rows(docs, stays, id_col, row_key(text_col))

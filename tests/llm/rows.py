@@ -6,7 +6,7 @@ import random
 import re
 
 #: Columns whose names the operators use themselves.
-CLASHES = "kept string, key string, digest string, uid string, spans string, fp string, label string, at string, _row string, _digest string, stored string"
+CLASHES = "kept string, key string, digest string, uid string, spans string, fp string, label string, at string, _row string, _digest string, stored string, _kept_id string, _id string, id string"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, " + CLASHES
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
