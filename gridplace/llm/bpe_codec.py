@@ -26,8 +26,8 @@ from gridplace.llm.bpe_pairs import LastTokens, Vocabulary
 from gridplace.llm.common import map_arrow, text_slices
 from gridplace.llm.pretokenize import END_OF_TEXT, CharClasses, code_points, starts
 
-SLICE_CHARS = 1 << 21
-MEMO_WORDS = 400_000
+SLICE_CHARS = 1 << 20
+MEMO_WORDS = 200_000
 
 
 class Codec:
@@ -166,12 +166,11 @@ def bpe_encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_co
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(vocab_path)
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in text_slices(texts, SLICE_CHARS):
-                coded = c.encode(texts[a:b])
+            for a, texts in text_slices(batch.column(1), SLICE_CHARS):
+                coded = c.encode(texts)
                 decoded = [c.decode(x) for x in coded]
                 cols = [
-                    batch.column(0).slice(a, b - a),
+                    batch.column(0).slice(a, len(texts)),
                     pa.array([len(x) for x in coded], pa.int64()),
                     pa.array([hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in coded], pa.string()),
                     pa.array([hashlib.sha256(t.encode("utf-8", "replace")).hexdigest() for t in decoded], pa.string()),

@@ -13,7 +13,8 @@ from __future__ import annotations
 import json
 
 MEMO_PAIRS = 1_000_000
-MAX_STATES = 400_000
+#: About a kilobyte each.
+MAX_STATES = 150_000
 NEVER = 1 << 60
 
 

@@ -5,12 +5,15 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridplace.session import ensure_checkpoint_dir, materialize
+from gridplace.session import materialize
 
-__all__ = ["ensure_checkpoint_dir", "materialize", "table", "text_or_empty", "row_key", "text_slices", "map_arrow", "fresh", "keep_rows"]
+__all__ = ["materialize", "table", "text_or_empty", "row_key", "text_slices", "map_arrow", "fresh", "keep_rows"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,18 +56,16 @@ def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str, key: Column) -> Dat
     return left.join(right, same, "left_semi").dropDuplicates(names).drop(*names)
 
 
-def text_slices(texts: list[str], max_chars: int) -> Iterator[tuple[int, int]]:
-    """Ranges of ``texts`` of at most ``max_chars`` characters each (a longer
-    text is a range of its own), so that a batch of very long texts does not
-    have to be expanded in memory at once."""
-    start = size = 0
-    for i, t in enumerate(texts):
-        if i > start and size + len(t) > max_chars:
-            yield start, i
-            start, size = i, 0
-        size += len(t)
-    if start < len(texts):
-        yield start, len(texts)
+def text_slices(column: pa.Array, max_bytes: int) -> Iterator[tuple[int, list[str]]]:
+    """First row and texts (NULL: empty) of slices of a text column of at most
+    ``max_bytes`` each; a longer text is a slice of its own.  Only one slice
+    at a time becomes Python strings, so a batch of long texts stays small."""
+    total = np.concatenate(([0], np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)))
+    start = 0
+    while start < len(column):
+        end = max(start + 1, int(np.searchsorted(total, total[start] + max_bytes, "right")) - 1)
+        yield start, [t or "" for t in column.slice(start, end - start).to_pylist()]
+        start = end
 
 
 def map_arrow(df: DataFrame, run: Callable, schema: str) -> DataFrame:

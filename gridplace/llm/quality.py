@@ -40,7 +40,7 @@ from gridplace.llm.common import map_arrow, text_slices
 
 BUCKETS = 1 << 14
 MARKS = b"#$%&*!|<>{}[]=+~^_\\@"
-SLICE_CHARS = 1 << 21
+SLICE_CHARS = 1 << 20
 N_STATS = 17
 #: Documents of the fit: the bound of what the driver gathers.
 MAX_FIT = 6000
@@ -225,9 +225,8 @@ def score_quality(docs: DataFrame, model: Machine, id_col: str = "doc_id", text_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
             stored = batch.column(2).to_pylist()
-            scores = [shared.value.score(texts[a:b], stored[a:b]) for a, b in text_slices(texts, SLICE_CHARS)]
+            scores = [shared.value.score(texts, stored[a : a + len(texts)]) for a, texts in text_slices(batch.column(1), SLICE_CHARS)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(scores) if scores else np.zeros(0))], ["doc_id", "score"])
 
     out = map_arrow(rows, run, f"doc_id {id_type}, score double")
@@ -248,10 +247,9 @@ def keep_good(docs: DataFrame, model: Machine, text_col: str = "text", length_co
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column(at).to_pylist()]
-            stored = batch.column(length).to_pylist() if length is not None else [None] * len(texts)
-            for a, b in text_slices(texts, SLICE_CHARS):
-                good = shared.value.score(texts[a:b], stored[a:b]) >= threshold
-                yield batch.slice(a, b - a).filter(pa.array(good))
+            stored = batch.column(length).to_pylist() if length is not None else [None] * batch.num_rows
+            for a, texts in text_slices(batch.column(at), SLICE_CHARS):
+                good = shared.value.score(texts, stored[a : a + len(texts)]) >= threshold
+                yield batch.slice(a, len(texts)).filter(pa.array(good))
 
     return map_arrow(docs, run, docs.schema)

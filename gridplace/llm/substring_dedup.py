@@ -321,10 +321,9 @@ def repeated_spans(docs: DataFrame, window: int, id_type: str) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         combine = Combiner()
         for batch in batches:
-            texts = [t or "" for t in batch.column(2).to_pylist()]
             keys = batch.column(1).to_numpy()
-            for a, b in text_slices(texts, SLICE_CHARS):
-                gram, block, text, at, n = blocks_of(texts[a:b], window)
+            for a, texts in text_slices(batch.column(2), SLICE_CHARS):
+                gram, block, text, at, n = blocks_of(texts, window)
                 who = text + a
                 yield from combine.add(gram, block, batch.column(0).take(pa.array(who)), keys[who], at, n, np.zeros(len(at), bool))
         yield from combine.flush()

@@ -33,8 +33,8 @@ from gridplace.llm.common import map_arrow, text_slices
 from gridplace.llm.pretokenize import END_OF_TEXT, LOOKAHEAD, LOOKBACK, CharClasses, code_points, starts
 
 CHUNK_CHARS = 1 << 18
-SLICE_CHARS = 1 << 21
-MEMO_WORDS = 400_000
+SLICE_CHARS = 1 << 20
+MEMO_WORDS = 200_000
 
 
 class WordCounts(dict):
@@ -161,10 +161,9 @@ def token_counts(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokenizer(vocab_path)
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
             counts: list[int] = []
-            for a, b in text_slices(texts, SLICE_CHARS):
-                counts += tok.count(texts[a:b], chunk_chars)
+            for _, texts in text_slices(batch.column(1), SLICE_CHARS):
+                counts += tok.count(texts, chunk_chars)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(counts, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
 
     rows = docs.select(
