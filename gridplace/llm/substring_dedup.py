@@ -210,7 +210,9 @@ class Combiner:
         double = later | np.concatenate((same, [False]))
         spans = order[double & ~settled[order]]
         if len(spans):
-            yield rows(SPAN, key[spans], np.zeros(len(spans), np.int64), ids.take(pa.array(spans)), key[spans], at[spans], n[spans], np.ones(len(spans), bool))
+            # copies of one text share its key, so spans are dealt by their place here
+            deal = mix(key[spans].view(np.uint64) + np.arange(len(spans), dtype=np.uint64))
+            yield rows(SPAN, deal, np.zeros(len(spans), np.int64), ids.take(pa.array(spans)), key[spans], at[spans], n[spans], np.ones(len(spans), bool))
         on = order[~later]
         flags = settled[on] | double[~later]
         same_p = p[on][1:] == p[on][:-1]
@@ -311,7 +313,7 @@ def _with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | No
 
 
 def meet(found: DataFrame, id_type: str, kind: int = BLOCK) -> DataFrame:
-    """Deal rows by p and settle equal ones.  Spans travel by their document."""
+    """Deal rows by p and settle equal ones.  Spans only travel along."""
     return map_arrow(found.repartition("p").sortWithinPartitions("p", "q"), settler(kind), schema(id_type))
 
 
