@@ -27,7 +27,7 @@ from gridplace.llm.common import map_arrow, text_slices
 from gridplace.llm.pretokenize import END_OF_TEXT, CharClasses, code_points, starts
 
 SLICE_CHARS = 1 << 20
-MEMO_WORDS = 200_000
+MEMO_WORDS = 300_000
 
 
 class Codec:

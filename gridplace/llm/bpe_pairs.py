@@ -14,7 +14,7 @@ import json
 
 MEMO_PAIRS = 1_000_000
 #: About a kilobyte each.
-MAX_STATES = 150_000
+MAX_STATES = 250_000
 NEVER = 1 << 60
 
 

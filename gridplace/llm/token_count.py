@@ -34,7 +34,7 @@ from gridplace.llm.pretokenize import END_OF_TEXT, LOOKAHEAD, LOOKBACK, CharClas
 
 CHUNK_CHARS = 1 << 18
 SLICE_CHARS = 1 << 20
-MEMO_WORDS = 200_000
+MEMO_WORDS = 300_000
 
 
 class WordCounts(dict):
