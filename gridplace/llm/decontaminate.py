@@ -36,15 +36,11 @@ MAX_K = 5
 
 
 def exact_words(text: Column) -> Column:
+    """The words that are hashed and the words that are compared: ``lower``
+    would fold a letter by its context, so equal words could hash apart."""
     return F.array_remove(F.split(F.translate(text, UPPER, LOWER), BETWEEN), "")
 
 
-def folded_words(text: Column) -> Column:
-    """As many words, at the same places, letters of all alphabets folded:
-    equal words stay equal, and folding costs far less."""
-    return F.array_remove(F.split(F.lower(text), BETWEEN), "")
-
-
 def winnow(df: DataFrame, words: Column, length: int, *keep: str) -> DataFrame:
     """``keep`` columns, n_words, first (the first row of its document), at
     (0-based window start), fingerprint (NULL if there is no window).
@@ -110,11 +106,11 @@ def decontaminate(
     hits = []
     for length in lengths:
         marks = materialize(
-            winnow(sized.filter(F.col("length") == length), folded_words(F.col("text")), length)
+            winnow(sized.filter(F.col("length") == length), exact_words(F.col("text")), length)
             .select("fingerprint").filter("fingerprint is not null").distinct(),
             "benchmark_fingerprints",
         ).withColumn("found", F.lit(True))
-        kept = winnow(rows, folded_words(F.col("text")), length, "doc_id", "key").join(marks, "fingerprint", "left")
+        kept = winnow(rows, exact_words(F.col("text")), length, "doc_id", "key").join(marks, "fingerprint", "left")
         one = F.lit(length == lengths[0])  # one row per document is kept for its words
         hits.append(
             kept.filter((F.col("first") & one) | F.col("found")).select(

@@ -71,6 +71,16 @@ def test_every_shared_span_is_found(spark):
     assert contracted(decontaminate(frame(spark, rows), bench(spark, items))) == by_id(plain(rows, items))
 
 
+def test_equal_words_meet_in_any_context(spark):
+    """The lower case of a capital sigma depends on the letters around it,
+    also across separators; words fold A-Z only."""
+    items = [(1, "ΟΔΟΣ ΑΒΓ"), (2, "Α Σ Β"), (3, " ".join(f"ΛΌΓΟΣ{i} ΟΔΌΣ" for i in range(6))), (4, "Title ΣΑΣ")]
+    rows = [(10 + i, t) for i, t in enumerate(["ΟΔΟΣ.ΑΒΓ", "ΟΔΟΣ:ΑΒΓ", "x ΟΔΟΣ ΑΒΓ", "Α'Σ Β", "Α Σ Β", "Α.Σ.Β", "tITLE`ΣΑΣ:Α", "οδος αβγ", "ΟΔΟς ΑΒΓ"])]
+    rows.append((30, ".".join(f"ΛΌΓΟΣ{i}'ΟΔΌΣ" for i in range(6))))
+    assert contracted(decontaminate(frame(spark, rows), bench(spark, items))) == by_id(plain(rows, items))
+    assert [r[5] for r in plain(rows, items)] == [True] * 7 + [False] * 2 + [True]
+
+
 def test_nothing_to_compare(spark):
     rows = hard_rows()
     clean = decontaminate(frame(spark, rows), bench(spark, []))
