@@ -2,7 +2,8 @@
 
 Patterns give the base spans.  Beside them, every run of encoding characters
 of ``MIN_RUN`` or more whose alphabet can be inferred (hexadecimal, base 32,
-base 36, base 64) is tested for being random over that alphabet:
+base 36, base 64, and base 64 that happens to hold no digit) is tested for
+being random over that alphabet:
 
 * chi-squared uniformity of the symbols,
 * runs test on the lower and upper half of the alphabet,
@@ -11,9 +12,9 @@ base 36, base 64) is tested for being random over that alphabet:
 combined by Fisher's method.  Being random is the null hypothesis, so the
 tests reject identifiers, paths and word-like strings.  Short strings are
 rejected less easily than long ones; therefore rejections are controlled by
-the Benjamini-Hochberg step within each stratum of encoding and length, and
-strings that carry fewer than ``min_bits`` are never reported.  What remains
-is reported as kind ``random`` unless a base span covers it.
+the Benjamini-Hochberg step within each stratum of encoding and length.  What
+remains is reported as kind ``random`` unless a base span covers it.  Runs of
+letters of one case only (words) and of digits only (numbers) are not tested.
 
 The p-values are counted in a fixed number of bins per stratum, so the step
 needs one small aggregate and no global sort; the cut-offs (one per stratum)
@@ -27,8 +28,6 @@ empty result; other columns are not read.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,6 +49,7 @@ ALPHABETS = {
     "base32": "234567ABCDEFGHIJKLMNOPQRSTUVWXYZ",
     "base36": "0123456789abcdefghijklmnopqrstuvwxyz",
     "base64": "+/0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
+    "letters": "+/ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
 }
 BINS, BINS_PER_E = 1000, 20
 
@@ -77,6 +77,7 @@ def inferred(token: Column) -> Column:
         .when(token.rlike(r"^[A-Z2-7]+$") & digit & upper, "base32")
         .when(token.rlike(r"^[0-9a-z]+$|^[0-9A-Z]+$") & digit & (lower | upper), "base36")
         .when(digit & lower & upper, "base64")
+        .when(lower & upper, "letters")
     )
 
 
@@ -90,7 +91,7 @@ def battery(df: DataFrame) -> DataFrame:
     """Adds p, the combined probability that a random string looks no more
     random than ``value`` does, for the runs with an inferred ``encoding``."""
     per = lambda make: F.coalesce(*[F.when(F.col("encoding") == e, make(e, a)) for e, a in ALPHABETS.items()])
-    coded = F.when(F.col("encoding").isin("hex", "base36"), F.lower("value")).when(F.col("encoding") == "base64", F.translate("value", "-_", "+/")).otherwise(F.col("value"))
+    coded = F.when(F.col("encoding").isin("hex", "base36"), F.lower("value")).when(F.col("encoding").isin("base64", "letters"), F.translate("value", "-_", "+/")).otherwise(F.col("value"))
     df = df.withColumn("coded", coded).withColumn("n", F.length("value").cast("double")).withColumn("size_of_alphabet", per(lambda e, a: F.lit(float(len(a)))))
 
     def squares(e: str, a: str) -> Column:
@@ -136,7 +137,7 @@ def cut_offs(tested: DataFrame, rate: float) -> DataFrame:
     return ranked.filter(passed).groupBy("encoding", "octave").agg(F.min("bin").alias("reject_from"))
 
 
-def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rate: float = 0.01, min_bits: float = 90.0) -> DataFrame:
+def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rate: float = 0.01) -> DataFrame:
     """Per document: doc_id, n_assign, n_access, n_hex, n_random,
     base_sha256, spans (kind:start:end in code points, end exclusive, by
     start, then kind)."""
@@ -163,19 +164,18 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .withColumn("encoding", F.when(F.col("kind") == 3, inferred(F.col("value"))))
         .filter((F.col("kind") != 3) | F.col("encoding").isNotNull())
     )
-    base = placed.filter("kind < 3").select("uid", "kind", "start", "end", F.lit(None).cast("string").alias("encoding"), F.lit(None).cast("int").alias("octave"), F.lit(None).cast("int").alias("bin"), F.lit(None).cast("double").alias("bits"))
+    base = placed.filter("kind < 3").select("uid", "kind", "start", "end", F.lit(None).cast("string").alias("encoding"), F.lit(None).cast("int").alias("octave"), F.lit(None).cast("int").alias("bin"))
     tested = battery(placed.filter("kind = 3").select("uid", "kind", "start", "end", "encoding", "value")).select(
         "uid", "kind", "start", "end", "encoding",
         F.floor(F.log2("n")).cast("int").alias("octave"),
         F.least(F.floor(-F.log(F.greatest("p", F.lit(1e-300))) * BINS_PER_E), F.lit(BINS - 1)).cast("int").alias("bin"),
-        (F.col("n") * F.coalesce(*[F.when(F.col("encoding") == e, F.lit(math.log2(len(a)))) for e, a in ALPHABETS.items()])).alias("bits"),
     )
     spans = materialize(base.unionByName(tested), "placed_matches")
     limits = F.broadcast(cut_offs(spans.filter("kind = 3"), rate))  # one row per encoding and power of two of the length
     by_start = Window.partitionBy("uid").orderBy("start", "kind").rangeBetween(Window.unboundedPreceding, 0)
     kept = (
         spans.join(limits, ["encoding", "octave"], "left")
-        .filter((F.col("kind") < 3) | ((F.col("bits") >= min_bits) & (F.col("reject_from").isNull() | (F.col("bin") < F.col("reject_from")))))
+        .filter((F.col("kind") < 3) | F.col("reject_from").isNull() | (F.col("bin") < F.col("reject_from")))
         .withColumn("covered", F.max(F.when(F.col("kind") < 3, F.col("end"))).over(by_start))
         .filter((F.col("kind") < 3) | F.col("covered").isNull() | (F.col("covered") < F.col("end")))
         .groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("spans"))

@@ -62,6 +62,20 @@ def test_random_strings_are_added_and_words_are_not(spark):
     assert kind == "random" and secrets[0][1][int(a) : int(b)].strip() == secrets[0][1][int(a) : int(b)]
 
 
+def test_short_and_digitless_random_strings_are_tested(spark):
+    rnd = random.Random(4)
+    key = lambda alphabet, n: "".join(rnd.choice(alphabet) for _ in range(n))
+    short = [(i, f"see {key('0123456789abcdef', 20 + i % 3)} here") for i in range(60)]
+    letters = [(100 + i, f"see {key(B64[:52], rnd.choice([20, 22, 32]))} here") for i in range(60)]
+    coded = [(200 + i, f"see {key(B64[:52] + '-_', 24)} here") for i in range(60)]
+    parts = ["Internationalization", "Controller", "Repository", "Transaction", "Statement", "Initializer", "Permission", "Address"]
+    words = [(1000 + i, "".join(rnd.sample(parts, 4))) for i in range(60)] + [(2000, "internationalization" * 2), (2001, "1234567890" * 3)]
+    found = {r.doc_id for r in secret_scan(frame(spark, short + letters + coded + words)).collect() if r.n_random}
+    for rows in (short, letters, coded):
+        assert len(found & {i for i, _ in rows}) >= 0.95 * len(rows)
+    assert len(found & {i for i, _ in words}) <= 0.05 * len(words)
+
+
 def test_no_python_in_the_plan(spark):
     text = secret_scan(frame(spark, odd_rows()))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in text and "Arrow" not in text
