@@ -1,15 +1,16 @@
-"""Repeated passages, by relative Lempel-Ziv parsing against content-cut blocks.
+"""Repeated passages, by joins of content-cut block and window hashes.
 
-Every document is both reference and text.  The reference is indexed in
-blocks: each window of ``window`` words is assigned to its smallest k-gram
+These joins replace greedy relative Lempel-Ziv parsing; no factors are formed.
+Every document is both reference and text, so a parse would need an index of
+the whole corpus in each task, while the result only asks which words lie in
+a window that occurs elsewhere.  The corpus is cut into blocks: each window of ``window`` words is assigned to its smallest k-gram
 hash, and the consecutive windows with the same smallest k-gram form a block
 (window + a few words long).  Blocks are cut by content, so equal passages
-give equal blocks wherever they start, and a parse needs no search: the
-factor of a document extends by a whole block at once when the block occurs
-anywhere else.  Where a passage begins or ends, the blocks differ although
-they share their k-gram: at these factor boundaries the single windows are
-compared.  A word is covered by a long enough factor exactly when one of its
-windows occurs elsewhere, so the two steps together are exact.
+give equal blocks wherever they start, and a block that occurs anywhere else
+repeats all its windows at once.  Where a passage begins or ends, the blocks
+differ although they share their k-gram: there the single windows are joined.
+Equal windows share their smallest k-gram, so they lie in equal blocks or in
+differing blocks of one k-gram, and the two steps together are exact.
 
 Steps, all linear in the input:
 
