@@ -12,8 +12,10 @@ so it is computed in time linear in the document's words.
 
 The model is fitted on a bounded sample of labelled rows (``max_fit`` rows,
 chosen by a hash of the id, never rows that are held out): their features are
-computed in tasks, and only those bounded vectors reach the driver.  Scoring
-is map-only; the model is a broadcast of fixed size.
+computed in tasks, and only those vectors reach the driver.  Equal buckets of
+a document are summed in its task, so a vector has at most BUCKETS words of 6
+bytes and N_STATS statistics of 8, however long the text: ``MAX_FIT`` of them
+are below 0.6 GB.  Scoring is map-only; the model is a broadcast of fixed size.
 
 Defined cases: NULL text is the empty text, all-zero words and finite
 statistics, and gets a score like any other; NULL stored length is the
@@ -81,7 +83,8 @@ def statistics(text: str, words: list[str], counts: Counter, stored: int | None)
 
 def features(texts: list[str], stored: list[int | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Buckets and values of the words of all texts in a row, how many each
-    text has, and the raw statistics."""
+    text has (at most BUCKETS: equal buckets of a text are summed), and the
+    raw statistics."""
     buckets: list[int] = []
     values: list[int] = []
     sizes, stats = [], []
@@ -93,12 +96,14 @@ def features(texts: list[str], stored: list[int | None]) -> tuple[np.ndarray, np
         values += counts.values()
         sizes.append(len(counts))
         stats.append(statistics(text, words, counts, s))
-    size = np.array(sizes, np.int64)
-    value = np.log1p(np.array(values, np.float64))
-    owner = np.repeat(np.arange(len(size)), size)
+    owner = np.repeat(np.arange(len(sizes)), np.array(sizes, np.int64))
+    merged, place = np.unique(owner * BUCKETS + np.array(buckets, np.int64) % BUCKETS, return_inverse=True)
+    value = np.bincount(place, np.log1p(np.array(values, np.float64)), minlength=len(merged))
+    owner = merged // BUCKETS
+    size = np.bincount(owner, minlength=len(sizes))
     norm = np.sqrt(np.bincount(owner, value * value, minlength=len(size)))
     value /= np.maximum(norm[owner], 1e-12)
-    return np.array(buckets, np.int64) % BUCKETS, value, size, np.array(stats, np.float64).reshape(-1, N_STATS)
+    return merged % BUCKETS, value, size, np.array(stats, np.float64).reshape(-1, N_STATS)
 
 
 @dataclass
@@ -194,20 +199,21 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column(2).to_pylist()]
-            bucket, value, size, stats = features(texts, batch.column(3).to_pylist())
-            ends = np.concatenate(([0], np.cumsum(size))).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0), batch.column(1),
-                    pa.ListArray.from_arrays(pa.array(ends), pa.array(bucket.astype(np.int32))),
-                    pa.ListArray.from_arrays(pa.array(ends), pa.array(value.astype(np.float32))),
-                    pa.ListArray.from_arrays(pa.array(np.arange(len(size) + 1, dtype=np.int32) * N_STATS), pa.array(stats.ravel())),
-                ],
-                ["doc_id", "label", "bucket", "value", "stats"],
-            )
-
-    vectors = map_arrow(rows, run, f"doc_id {id_type}, label int, bucket array<int>, value array<float>, stats array<double>")
+            for a, texts in text_slices(batch.column(2), SLICE_CHARS):
+                part = batch.slice(a, len(texts))
+                bucket, value, size, stats = features(texts, part.column(3).to_pylist())
+                ends = np.concatenate(([0], np.cumsum(size))).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0), part.column(1),
+                        pa.ListArray.from_arrays(pa.array(ends), pa.array(bucket.astype(np.int16))),
+                        pa.ListArray.from_arrays(pa.array(ends), pa.array(value.astype(np.float32))),
+                        pa.ListArray.from_arrays(pa.array(np.arange(len(size) + 1, dtype=np.int32) * N_STATS), pa.array(stats.ravel())),
+                    ],
+                    ["doc_id", "label", "bucket", "value", "stats"],
+                )
+
+    vectors = map_arrow(rows, run, f"doc_id {id_type}, label int, bucket array<smallint>, value array<float>, stats array<double>")
     got = vectors.limit(max_fit).toArrow().combine_chunks().sort_by([("doc_id", "ascending"), ("label", "ascending")])
     flat = lambda name, kind: got[name].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(kind)
     if got.num_rows == 0:

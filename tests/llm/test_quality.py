@@ -25,6 +25,22 @@ def test_linear_time_score_is_the_sum_over_pairs():
         assert got[r] == pytest.approx(0.3 + m.linear[c] @ x + pairs)
 
 
+def test_vectors_of_long_texts_are_bounded(spark, monkeypatch):
+    """Words that share a bucket are one entry, in the fit and in the score."""
+    long = " ".join(f"w{i}" for i in range(3 * Q.BUCKETS))
+    bucket, value, size, _ = Q.features(["", long, "a b"], [None] * 3)
+    assert size[1] <= Q.BUCKETS and size.tolist()[::2] == [0, 2] and len(bucket) == len(value) == size.sum()
+    assert len(set(bucket[: size[1]])) == size[1]
+    want = np.bincount([zlib.crc32(w.encode()) % Q.BUCKETS for w in long.split()], minlength=Q.BUCKETS).astype(float)
+    got = np.zeros(Q.BUCKETS)
+    got[bucket[: size[1]]] = value[: size[1]]
+    assert got == pytest.approx(want / np.sqrt((want**2).sum()))
+    seen = []
+    monkeypatch.setattr(Q, "fit", lambda bucket, value, size, *rest: seen.append(size))
+    Q.fit_quality(frame(spark, [(i, long) for i in range(8)]), spark.createDataFrame([(i, i % 2) for i in range(8)], "doc_id long, quality int"))
+    assert 0 < seen[0].max() <= Q.BUCKETS
+
+
 def is_held_out(i):
     return i is not None and zlib.crc32(str(i).encode()) % 5 == 0
 
