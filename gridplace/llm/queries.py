@@ -10,6 +10,7 @@ from gridplace.llm.chat_format import digest_chats, format_chats, parse_chats
 from gridplace.llm.common import table
 from gridplace.llm.decontaminate import decontaminate
 from gridplace.llm.exact_dedup import exact_dedup
+from gridplace.llm.jaccard_join import jaccard_join
 from gridplace.llm.quality import quality
 from gridplace.llm.secret_scan import secret_scan
 from gridplace.llm.simhash import simhash_dedup
@@ -74,6 +75,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_encode(table(spark, sf_dir, "documents"), vocab_path(), with_ids=False)
 
 
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(table(spark, sf_dir, "documents"), words=3, similarity=(9, 10))
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_substring_dedup": op2_substring_dedup,
@@ -85,6 +90,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_bpe": op10_bpe,
+    "op12_jaccard_join": op12_jaccard_join,
 }
 
 ORACLES = {
@@ -154,4 +160,20 @@ ORACLES = {
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept,
                sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))""",
+    "op12_jaccard_join": r"""
+        WITH RECURSIVE d AS (
+            SELECT row_number() OVER () AS r, doc_id,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x{20}\x{09}-\x{0D}]+') AS w
+            FROM documents
+        ), s AS (
+            SELECT DISTINCT r, array_to_string(w[i : i + least(len(w), 3) - 1], ' ') AS span
+            FROM (SELECT r, w, unnest(generate_series(1, len(w) - least(len(w), 3) + 1)) AS i FROM d WHERE len(w) > 0)
+        ), n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+        common AS (SELECT a.r AS x, b.r AS y, count(*) AS c FROM s a JOIN s b USING (span) WHERE a.r <> b.r GROUP BY a.r, b.r),
+        links AS (
+            SELECT x, y FROM common JOIN n AS nx ON nx.r = x JOIN n AS ny ON ny.r = y WHERE 100 * c >= 90 * (nx.n + ny.n - c)
+        ), reach(x, y) AS (SELECT x, y FROM links UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x),
+        least_of AS (SELECT x, min(doc_id) AS doc_id FROM reach JOIN d ON d.r = y GROUP BY x)
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(least_of.doc_id, d.doc_id)) AS component_id
+        FROM d LEFT JOIN n ON n.r = d.r LEFT JOIN least_of ON least_of.x = d.r""",
 }
