@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gridplace.llm.bpe_codec import bpe_encode
 from gridplace.llm.chat_format import digest_chats, format_chats, parse_chats
 from gridplace.llm.common import table
+from gridplace.llm.conversation_repair import damaged, repair_conversations
 from gridplace.llm.decontaminate import decontaminate
 from gridplace.llm.exact_dedup import exact_dedup
 from gridplace.llm.jaccard_join import jaccard_join
@@ -15,14 +16,15 @@ from gridplace.llm.quality import quality
 from gridplace.llm.secret_scan import secret_scan
 from gridplace.llm.simhash import simhash_dedup
 from gridplace.llm.substring_dedup import substring_dedup
+from gridplace.llm.token_alignment import align_tokens
 from gridplace.llm.token_count import token_counts
 from gridplace.llm.warc import through_warc
 
 
-def vocab_path() -> str:
+def vocab_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 #: A conversation that repeats the template's own control strings.
@@ -75,10 +77,19 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_encode(table(spark, sf_dir, "documents"), vocab_path(), with_ids=False)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, present = damaged(table(spark, sf_dir, "conversations"))
+    return repair_conversations(rows, present=present)
+
+
 def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents"), words=3, similarity=(9, 10))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokens(table(spark, sf_dir, "documents"), vocab_path(), vocab_path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_substring_dedup": op2_substring_dedup,
@@ -90,7 +101,9 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_bpe": op10_bpe,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_jaccard_join": op12_jaccard_join,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLES = {
@@ -160,6 +173,61 @@ ORACLES = {
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept,
                sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))""",
+    # crc32 by half bytes; then, from a conversation's last row to its first, the least (cost, audit, rows) from each state
+    "op11_conversation_repair": r"""
+        WITH RECURSIVE raw AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k
+            FROM conversations
+        ), harmed AS (
+            SELECT *, xor(list_reduce(
+                list_concat([4294967295::BIGINT], flatten(list_transform(string_split(k, ''), lambda ch: [(ascii(ch) & 15)::BIGINT, (ascii(ch) >> 4)::BIGINT]))),
+                lambda a, x: xor(a >> 4, ([0, 498536548, 997073096, 651767980, 1994146192, 1802195444, 1303535960, 1342533948,
+                                          3988292384, 4027552580, 3604390888, 3412177804, 2607071920, 2262029012, 2685067896, 3183342108]::BIGINT[])[(xor(a, x) & 15) + 1])
+            ), 4294967295) % 20 AS harm
+            FROM raw
+        ), made AS (
+            SELECT conv_id, turn, CASE harm WHEN 4 THEN 'user' ELSE role END AS role,
+                   CASE harm WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                   unnest(CASE harm WHEN 0 THEN [] WHEN 3 THEN [0, 1] ELSE [0] END) AS copy
+            FROM harmed
+        ), d AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM made
+        ), f AS (
+            SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x{20}\x{09}-\x{0D}]') THEN 'b'
+                           WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd'
+                           WHEN NOT regexp_matches(text, '[.!?][\x{20}\x{09}-\x{0D}]*$') THEN 't' ELSE '' END AS fault,
+                   lag(role) OVER (PARTITION BY conv_id ORDER BY i) AS before
+            FROM d
+        ), counts AS (
+            SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) AS n,
+                   count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+                   count(*) FILTER (before IS NOT NULL AND left(before, 1) || left(role, 1) NOT IN ('su', 'ua', 'au')) AS illegal
+            FROM f GROUP BY conv_id
+        ), written(q, role, into_q) AS (VALUES (0, 'user', 2), (1, 'user', 2), (2, 'assistant', 3), (3, 'user', 2)),
+        legal(q, initial, into_q) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+        inserts(q, into_q, cost, audit, lines) AS (
+            SELECT q, q, 0, '', []::VARCHAR[] FROM written
+            UNION ALL SELECT q, into_q, 2, 'I', [role || ':'] FROM written
+            UNION ALL SELECT w.q, v.into_q, 4, 'II', [w.role || ':', v.role || ':'] FROM written w JOIN written v ON v.q = w.into_q
+            UNION ALL SELECT w.q, u.into_q, 6, 'III', [w.role || ':', v.role || ':', u.role || ':']
+                      FROM written w JOIN written v ON v.q = w.into_q JOIN written u ON u.q = v.into_q
+        ), steps AS (
+            SELECT conv_id, i, q, q AS into_q, 3 AS cost, 'D' AS audit, []::VARCHAR[] AS lines FROM f, written
+            UNION ALL SELECT conv_id, i, q, into_q, 2 + (fault = 't')::INT, 'R', [written.role || ':' || text] FROM f, written WHERE fault NOT IN ('b', 'd')
+            UNION ALL SELECT conv_id, i, q, into_q, (fault = 't')::INT, 'K', [role || ':' || text] FROM f JOIN legal ON initial = left(role, 1) WHERE fault NOT IN ('b', 'd')
+        ), best(conv_id, i, q, way) AS (
+            SELECT conv_id, n + 1, s.q, min({'cost': s.cost, 'audit': s.audit, 'lines': s.lines}) FROM counts, inserts s WHERE into_q IN (0, 3) GROUP BY conv_id, n, s.q
+            UNION ALL
+            SELECT conv_id, i, q, min(way) FROM (
+                SELECT b.conv_id, b.i - 1 AS i, s.q, {'cost': s.cost + t.cost + b.way.cost, 'audit': s.audit || t.audit || b.way.audit, 'lines': s.lines || t.lines || b.way.lines} AS way
+                FROM best b JOIN steps t ON t.conv_id IS NOT DISTINCT FROM b.conv_id AND t.i = b.i - 1 AND t.into_q = b.q JOIN inserts s ON s.into_q = t.q
+            ) GROUP BY conv_id, i, q
+        ), solved AS (SELECT conv_id, way FROM best WHERE i = 1 AND q = 0)
+        SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+               coalesce(illegal, 0) AS illegal, coalesce(way.cost, 0) AS cost, coalesce(way.audit, '') AS audit, sha256(coalesce(array_to_string(way.lines, chr(10)), '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) o
+        LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN solved ON solved.conv_id IS NOT DISTINCT FROM o.conv_id""",
     "op12_jaccard_join": r"""
         WITH RECURSIVE d AS (
             SELECT row_number() OVER () AS r, doc_id,
