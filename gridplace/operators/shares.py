@@ -43,9 +43,14 @@ def job_shares(counts: DataFrame, scale: int = 6) -> DataFrame:
     )
 
 
-def job_shares_report(tables, as_of, n_days=1, label: str | None = "user") -> DataFrame:
-    """Shares straight from the four job tables (UNION ALL)."""
-    return job_shares(job_status_counts(tables, as_of, n_days, SHARE_STATUSES, label=label))
+def job_shares_report(
+    tables, as_of, n_days=1, label: str | None = "user", partition_col: str | None = None
+) -> DataFrame:
+    """Shares straight from the four job tables (UNION ALL).
+
+    ``partition_col``: the date column that the tables are partitioned by;
+    only the days of the window are opened."""
+    return job_shares(job_status_counts(tables, as_of, n_days, SHARE_STATUSES, label=label, partition_col=partition_col))
 
 
 def queue_shares(shares: DataFrame, queues: DataFrame, as_of) -> DataFrame:

@@ -1,0 +1,114 @@
+"""Landed JSON records and CSV snapshots in folders: malformed input is an
+error that names its file, or lands in a counted second output."""
+
+import json
+
+import pytest
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import types as T
+
+from gridplace.sources.readers import land_records, read_records, read_snapshot
+
+FAILURE = (PySparkException, Py4JJavaError)
+RULES = "rule_id string, copies long, at timestamp_ntz, tags array<string>, inner struct<x: long>"
+GOOD = ['{"rule_id": "r1", "copies": 2, "at": "2021-09-28T10:00:00", "tags": ["a", null], "inner": {"x": 1}, "unknown": [1]}', "", '{"rule_id": "r2"}', "   ", "{}"]
+BAD = {
+    "truncated": '{"rule_id": "r3", "copies":',
+    "wrong type": '{"rule_id": "r3", "copies": "two"}',
+    "fraction": '{"copies": 1.5}',
+    "wrong inner type": '{"inner": {"x": "one"}}',
+    "wrong time": '{"at": "yesterday"}',
+    "array": '[{"rule_id": "r3"}]',
+    "null": "null",
+    "number": "5",
+    "text": "not json",
+    "two objects cut": '{"rule_id": "r3"} {',
+    "two objects": '{"rule_id": "r3"}, {"rule_id": "r4"}',
+    "trailing text": '{"rule_id": "r3"} x',
+}
+
+
+def landed(path, lines):
+    path.mkdir()
+    (path / "a.json").write_text("\n".join(GOOD) + "\n")
+    (path / "b.json").write_text("\n".join(lines) + "\n")
+    return str(path)
+
+
+def test_records_that_are_whole(spark, tmp_path):
+    df = read_records(spark, landed(tmp_path / "r", ['{"rule_id": "r9", "copies": null}']), RULES)
+    assert [f.dataType for f in df.schema] == [f.dataType for f in T._parse_datatype_string(RULES)]
+    rows = {r.rule_id: r for r in df.collect()}
+    assert set(rows) == {"r1", "r2", "r9", None}
+    assert rows["r1"].copies == 2 and rows["r1"].tags == ["a", None] and rows["r1"].inner.x == 1 and rows["r1"]["at"].hour == 10
+    assert rows["r2"].copies is None and df.count() == 4
+
+
+@pytest.mark.parametrize("what", BAD)
+def test_malformed_record_is_an_error(spark, tmp_path, what):
+    df = read_records(spark, landed(tmp_path / "r", [BAD[what]]), RULES)
+    with pytest.raises(FAILURE, match="malformed record in .*b.json"):
+        df.collect()
+    with pytest.raises(FAILURE, match="malformed record"):
+        df.count()  # no field is read
+    with pytest.raises(FAILURE, match="malformed record"):
+        df.select("rule_id").filter("rule_id = 'r1'").collect()
+
+
+def test_malformed_records_land_in_a_counted_second_output(spark, tmp_path):
+    path = landed(tmp_path / "r", [*BAD.values(), '{"rule_id": "r9"}'])
+    out = land_records(spark, path, RULES, rejected_path=str(tmp_path / "rejected"))
+    assert (out.n_records, out.n_rejected) == (4, len(BAD))
+    assert sorted(r.rule_id or "" for r in out.records.collect()) == ["", "r1", "r2", "r9"]
+    kept = spark.read.parquet(str(tmp_path / "rejected")).collect()
+    assert sorted(r.value for r in kept) == sorted(BAD.values())
+    assert all(r.file.endswith("b.json") for r in kept)
+
+
+def test_too_many_malformed_records_are_an_error(spark, tmp_path):
+    path = landed(tmp_path / "r", list(BAD.values())[:1])
+    assert land_records(spark, path, RULES, max_rejected=0.25).n_rejected == 1
+    with pytest.raises(ValueError, match="1 of 4 records"):
+        land_records(spark, path, RULES, rejected_path=str(tmp_path / "rejected"), max_rejected=0.1)
+    assert spark.read.parquet(str(tmp_path / "rejected")).count() == 1  # written before the error
+
+
+def test_no_records(spark, tmp_path):
+    (tmp_path / "empty.json").write_text("\n\n")
+    assert read_records(spark, str(tmp_path / "empty.json"), RULES).collect() == []
+    out = land_records(spark, str(tmp_path / "empty.json"), RULES, max_rejected=0.0)
+    assert (out.n_records, out.n_rejected) == (0, 0)
+
+
+SNAP = T.StructType([T.StructField("queue", T.StringType()), T.StructField("n", T.IntegerType()), T.StructField("m", T.IntegerType())])
+
+
+def snapshots(folder, second):
+    folder.mkdir()
+    (folder / "a.csv").write_text(",queue,n,m\n0,Q1,5,6\n")
+    (folder / "b.csv").write_text(second)
+    return str(folder)
+
+
+def test_every_file_of_a_snapshot_folder_is_checked(spark, tmp_path):
+    good = snapshots(tmp_path / "good", ",queue,n,m\n0,Q2,7,8\n")
+    assert sorted(map(tuple, read_snapshot(spark, good, SNAP).collect())) == [("Q1", 5, 6), ("Q2", 7, 8)]
+    assert read_snapshot(spark, good, SNAP).count() == 2
+    for name, second in (("swapped", ",queue,m,n\n0,Q2,8,7\n"), ("renamed", ",queue,n,k\n0,Q2,7,8\n"), ("longer", ",queue,n,m,k\n0,Q2,7,8,9\n"), ("shorter", ",queue,n\n0,Q2,7\n")):
+        folder = snapshots(tmp_path / name, second)
+        with pytest.raises((*FAILURE, ValueError)):
+            read_snapshot(spark, folder, SNAP).collect()
+        with pytest.raises((*FAILURE, ValueError)):
+            read_snapshot(spark, folder, SNAP).select("queue").collect()  # the swapped columns are not even read
+
+
+def test_snapshot_without_index(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("queue,n,m\nQ1,5,6\n")
+    assert [tuple(r) for r in read_snapshot(spark, str(tmp_path / "a.csv"), SNAP, has_index=False).collect()] == [("Q1", 5, 6)]
+
+
+def test_records_as_json_dump_them(spark, tmp_path):
+    rows = [{"rule_id": f"r{i}", "copies": i} for i in range(50)]
+    (tmp_path / "r.json").write_text("".join(json.dumps(r) + "\n" for r in rows))
+    assert sorted((r.rule_id, r.copies) for r in read_records(spark, str(tmp_path / "r.json"), "rule_id string, copies long").collect()) == sorted((r["rule_id"], r["copies"]) for r in rows)
