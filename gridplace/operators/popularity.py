@@ -19,6 +19,25 @@ from gridplace.functions import trailing_window
 DAOD_PATTERNS = ("mc%DAOD%", "data%DAOD%")
 
 
+def finished_tasks(tasks: DataFrame, as_of, days: int | None, tasktype: str, partition_col: str | None = None) -> DataFrame:
+    """Finished tasks of ``tasktype`` of the last ``days`` (``as_of=None``: of all time)."""
+    cond = (F.col("tasktype") == tasktype) & F.col("endtime").isNotNull()
+    if as_of is not None:
+        cond = cond & trailing_window("modificationtime", as_of, days, partition_col)
+    return tasks.filter(cond)
+
+
+def primary_inputs(task_datasets: DataFrame, patterns: Sequence[str] = DAOD_PATTERNS) -> DataFrame:
+    """jeditaskid, datasetname of the primary inputs whose name has a pattern."""
+    like = None
+    for p in patterns:
+        c = F.col("datasetname").like(p)
+        like = c if like is None else (like | c)
+    return task_datasets.filter(
+        like & (F.col("type") == "input") & F.col("masterid").isNull()
+    ).select("jeditaskid", "datasetname")
+
+
 def dataset_popularity(
     tasks: DataFrame,
     task_datasets: DataFrame,
@@ -33,18 +52,8 @@ def dataset_popularity(
     """datasetname, n_tasks, n_users: distinct tasks and users that read the
     dataset as primary input in the last ``days`` (finished tasks of
     ``tasktype``), keeping datasets with ``n_tasks >= min_tasks``."""
-    t = tasks.filter(
-        (F.col("tasktype") == tasktype)
-        & trailing_window("modificationtime", as_of, days, partition_col)
-        & F.col("endtime").isNotNull()
-    ).select("jeditaskid", "username")
-    like = None
-    for p in patterns:
-        c = F.col("datasetname").like(p)
-        like = c if like is None else (like | c)
-    d = task_datasets.filter(
-        like & (F.col("type") == "input") & F.col("masterid").isNull()
-    ).select("jeditaskid", "datasetname")
+    t = finished_tasks(tasks, as_of, days, tasktype, partition_col).select("jeditaskid", "username")
+    d = primary_inputs(task_datasets, patterns)
     j = d.join(t, "jeditaskid")
     if approx:
         aggs = [
