@@ -70,7 +70,8 @@ UNION ALL SELECT s_suppkey, 'freespace', CAST(CAST(round(s_acctbal + 1000) AS BI
 
 INPUTS["usage"] = ((), f"""SELECT s_suppkey AS rse_id, 'storage' AS source,
        CAST(round((s_acctbal + 1000) * 100) AS BIGINT) * {USAGE_BYTES_FACTOR} AS free FROM supplier
-UNION ALL SELECT s_suppkey, 'accounting', CAST(0 AS BIGINT) FROM supplier""")
+UNION ALL SELECT s_suppkey, 'accounting', CAST(0 AS BIGINT) FROM supplier
+UNION ALL SELECT s_suppkey, 'expired', CAST(s_suppkey AS BIGINT) FROM supplier""")
 
 INPUTS["requests"] = ((), f"""SELECT l.l_suppkey AS dest_rse_id, o.o_orderpriority AS activity,
        CAST(round(l.l_extendedprice * 100) AS BIGINT) * {REQUEST_BYTES_FACTOR} AS bytes
@@ -116,7 +117,7 @@ FROM (SELECT h.*, n.rule_no, first_line <= 1 AND rule_no <= 2 - l_partkey % 2 AS
 JOIN rses r ON r.rse_id = g.l_suppkey""")
 
 INPUTS["tasks"] = ((), """SELECT o_orderkey AS jeditaskid, 'u' || CAST(o_custkey AS VARCHAR) AS username,
-       CASE WHEN o_orderpriority < '4' THEN 'anal' ELSE 'prod' END AS tasktype,
+       CASE WHEN o_orderpriority < '4' THEN 'anal' WHEN o_orderpriority < '5' THEN 'prod' ELSE 'test' END AS tasktype,
        o_orderdate AS modificationtime,
        CASE WHEN o_orderstatus <> 'P' THEN o_orderdate END AS endtime
 FROM orders""")
@@ -124,7 +125,7 @@ FROM orders""")
 _prefix = _case("CAST(p.p_size % 3 AS VARCHAR)", {str(i): v for i, v in enumerate(DATASET_PREFIXES)})
 INPUTS["task_datasets"] = ((), f"""SELECT l.l_orderkey AS jeditaskid,
        {_prefix} || '.' || p.p_brand || '.DAOD_' || p.p_type AS datasetname,
-       CASE WHEN l.l_returnflag = 'R' THEN 'output' ELSE 'input' END AS type,
+       CASE WHEN l.l_returnflag = 'R' THEN 'output' WHEN l.l_linenumber = 3 THEN 'log' ELSE 'input' END AS type,
        CASE WHEN l.l_linenumber >= 6 THEN l.l_linenumber END AS masterid
 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey""")
 

@@ -20,3 +20,6 @@ LATENCY_DAYS = 1
 LATENCY_LABEL = "user"
 SELECTED_THRESHOLDS = {"Difference": (">", 5), "queue_efficiency": ("<=", 0.3)}
 SELECTED_BAND = (0, 9)         # distances of the scoring of listed datasets, both ends excluded
+DAILY_AS_OF = "1998-07-01 10:30:00"  # reports from partial counts: a window with a part of a day at either end
+DAILY_DAYS = 6.4
+SINK_DAYS = ("1998-07-01", "1998-07-02")  # stamps of the snapshot that is written and read back

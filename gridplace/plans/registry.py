@@ -10,21 +10,26 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gridplace.operators import candidates as CA
 from gridplace.operators import catalogue as C
+from gridplace.operators import daily_counts as D
 from gridplace.operators import jobs as J
 from gridplace.operators import latency as L
 from gridplace.operators import popularity as POP
+from gridplace.operators import popularity_sketches as PS
 from gridplace.operators import queues as Q
 from gridplace.operators import replicas as R
 from gridplace.operators import scoring as SC
 from gridplace.operators import shares as S
 from gridplace.operators import topology as T
 from gridplace.plans import params as P
-from gridplace.session import materialize
+from gridplace.session import materialize, new_folder
+from gridplace.sources.commits import read_committed, write_committed
 from gridplace.sources.nested import parse_queue_catalogue, parse_storage_json
-from gridplace.sources.readers import split_dataset_ids
+from gridplace.sources.readers import read_dataset_list, read_records, read_snapshot, split_dataset_ids
+from gridplace.sources.sinks import write_snapshot, write_suggestions
 from gridplace.sources.testdata import TestTables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,8 +123,10 @@ def q_replica_locations(spark, sf_dir):
     return T.replica_locations(tt.collection_replicas, tt.attrs, tt.rses)
 
 
-def _replicas(tt: TestTables) -> DataFrame:
-    return R.dataset_replicas(tt.replica_records, tt.rule_history, tt.rule_details, tt.attrs, tt.rses, P.SNAPSHOT_AS_OF)
+def _replicas(tt: TestTables, datasets: DataFrame | None = None) -> DataFrame:
+    return R.dataset_replicas(
+        tt.replica_records, tt.rule_history, tt.rule_details, tt.attrs, tt.rses, P.SNAPSHOT_AS_OF, datasets=datasets
+    )
 
 
 def q_dataset_replicas(spark, sf_dir):
@@ -144,13 +151,9 @@ def _candidates(tt: TestTables) -> DataFrame:
     return CA.merged_candidates(queues, _metrics(tt, P.JOBS_AS_OF, P.SCORING_DAYS), storage)
 
 
-def _distances(tt: TestTables) -> DataFrame:
-    return T.rse_distances(tt.distances, tt.attrs, tt.rses, P.SNAPSHOT_AS_OF)
-
-
 def _distance_table(tt: TestTables) -> DataFrame:
-    """The distance report as a table: closeness reads it twice."""
-    return materialize(_distances(tt).select("source", "dest", "agis_distance"), "distances")
+    """The endpoint distances as a table: closeness reads them twice."""
+    return materialize(T.endpoint_distances(tt.distances, tt.rses), "distances")
 
 
 def _closeness(tt: TestTables) -> DataFrame:
@@ -158,10 +161,11 @@ def _closeness(tt: TestTables) -> DataFrame:
     return CA.closeness(_candidates(tt), _distance_table(tt), sources)
 
 
-def _weights(tt: TestTables, level: str, **options) -> DataFrame:
+def _weights(tt: TestTables, level: str, datasets: DataFrame | None = None, **options) -> DataFrame:
     """In the reference the inputs of the scoring are files written by
-    separate jobs; here the two that are read more than once are tables."""
-    reps = materialize(_replicas(tt).select("scope", "name", "rse", "official", "TB", "available_TB"), "replicas")
+    separate jobs; here the two that are read more than once are tables.  A
+    dataset list already restricts the replicas that are written."""
+    reps = materialize(_replicas(tt, datasets).select("scope", "name", "rse", "official", "TB", "available_TB"), "replicas")
     return SC.rse_weight(_candidates(tt), _distance_table(tt), reps, level=level, **options)
 
 
@@ -217,6 +221,86 @@ def q_job_shares_union(spark, sf_dir):
     return S.job_shares_report(tables, P.JOBS_AS_OF, P.SHARES_DAYS, label=P.SHARES_LABEL)
 
 
+# --- reports from partial counts and sketches ---------------------------------
+
+
+def _daily(spark, sf_dir, names, statuses, label=None, exclude_test=False, count_col="pandaid") -> DataFrame:
+    """Every day is counted into a table; the window then takes its whole days
+    from there and the parts of a day at its ends from the jobs."""
+    tables = TestTables(spark, sf_dir).jobs_by_hour(*names)
+    daily = materialize(D.daily_status_counts(tables), "daily_counts")
+    return D.job_status_counts_from_daily(daily, tables, P.DAILY_AS_OF, P.DAILY_DAYS, statuses, label, exclude_test, count_col)
+
+
+def q_job_status_counts_daily(spark, sf_dir):
+    return _daily(spark, sf_dir, OCC_TABLES, J.OCCUPANCY_STATUSES)
+
+
+def q_queue_efficiency_daily(spark, sf_dir):
+    return Q.efficiency_of(_daily(spark, sf_dir, ("jobs_archived4",), J.EFFICIENCY_STATUSES, exclude_test=True, count_col=None))
+
+
+def q_job_shares_daily(spark, sf_dir):
+    return S.job_shares(_daily(spark, sf_dir, ALL_TABLES, J.SHARE_STATUSES, label=P.SHARES_LABEL))
+
+
+def q_dataset_popularity_sketched(spark, sf_dir):
+    tt = TestTables(spark, sf_dir)
+    stored = materialize(PS.popularity_sketches(tt.tasks, tt.task_datasets), "popularity_sketches")
+    return PS.popularity_from_sketches(stored, P.POPULARITY_AS_OF, P.POPULARITY_DAYS, P.POPULARITY_MIN_TASKS)
+
+
+# --- sources and sinks: written as they land, and read back ------------------------
+
+
+def q_snapshot_read_back(spark, sf_dir):
+    """The storage snapshot as CSV files with a row index."""
+    info, path = q_storage_info(spark, sf_dir), new_folder(spark, "storage_csv")
+    info.select(F.monotonically_increasing_id().alias(""), *[F.col(f"`{c}`") for c in info.columns]).write.option("header", True).csv(path)
+    return read_snapshot(spark, path, info.schema)
+
+
+def q_records_read_back(spark, sf_dir):
+    """The replica records as JSON lines."""
+    records, path = TestTables(spark, sf_dir).replica_records, new_folder(spark, "replica_json")
+    records.write.json(path)
+    return read_records(spark, path, records.schema)
+
+
+def q_dataset_list_read_back(spark, sf_dir):
+    """The dataset list as text."""
+    path = new_folder(spark, "datasets_txt")
+    TestTables(spark, sf_dir).wanted_datasets.write.text(path)
+    return read_dataset_list(spark, path)
+
+
+def q_snapshot_sink_read_back(spark, sf_dir):
+    """Two days of the queue list, the first one written twice."""
+    queues, path = _queues(TestTables(spark, sf_dir)), new_folder(spark, "queue_snapshots")
+    first, second = P.SINK_DAYS
+    for day in (first, second, first):
+        write_snapshot(C.queue_site_rse(queues, day), path)
+    schema = C.queue_site_rse(queues, first).schema
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
+def q_committed_snapshots_read_back(spark, sf_dir):
+    """S7 with commit records: as above, and a run that was never committed."""
+    queues, path = _queues(TestTables(spark, sf_dir)), new_folder(spark, "committed_snapshots")
+    first, second = P.SINK_DAYS
+    for day in (first, second, first):
+        write_committed(C.queue_site_rse(queues, day), path)
+    C.queue_site_rse(queues, second).write.partitionBy("datetime").parquet(f"{path}/runs/unfinished")
+    return read_committed(spark, path)
+
+
+def q_suggestions_read_back(spark, sf_dir):
+    """One folder per dataset and source of the listed scoring."""
+    weights, path = q_rse_weight_selected(spark, sf_dir), new_folder(spark, "suggestions")
+    write_suggestions(weights, path)
+    return spark.read.schema(weights.schema).parquet(path).select(*weights.columns)
+
+
 QUERIES: dict[str, Query] = {
     "job_status_counts": q_job_status_counts,
     "queue_occupancy": q_queue_occupancy,
@@ -246,6 +330,16 @@ QUERIES: dict[str, Query] = {
     "queue_occupancy_user": q_queue_occupancy_user,
     "queue_efficiency_user": q_queue_efficiency_user,
     "job_shares_union": q_job_shares_union,
+    "job_status_counts_daily": q_job_status_counts_daily,
+    "queue_efficiency_daily": q_queue_efficiency_daily,
+    "job_shares_daily": q_job_shares_daily,
+    "dataset_popularity_sketched": q_dataset_popularity_sketched,
+    "snapshot_read_back": q_snapshot_read_back,
+    "records_read_back": q_records_read_back,
+    "dataset_list_read_back": q_dataset_list_read_back,
+    "snapshot_sink_read_back": q_snapshot_sink_read_back,
+    "committed_snapshots_read_back": q_committed_snapshots_read_back,
+    "suggestions_read_back": q_suggestions_read_back,
 }
 
 

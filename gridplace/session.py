@@ -71,6 +71,15 @@ def tables_folder(spark: SparkSession) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/gridplace-{spark.sparkContext.applicationId}"
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path of its own below the session's folder, deleted with it."""
+    folder = tables_folder(spark)
+    if folder not in _LIVE:
+        _LIVE.add(folder)
+        atexit.register(_drop_at_exit, spark, folder)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as a Parquet table under ``spark.checkpoint.dir`` and
     read it back.
@@ -82,11 +91,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     without that call it goes when the driver's Python ends.
     """
     spark = df.sparkSession
-    folder = tables_folder(spark)
-    if folder not in _LIVE:
-        _LIVE.add(folder)
-        atexit.register(_drop_at_exit, spark, folder)
-    path = f"{folder}/{name}-{uuid.uuid4().hex}"
+    path = new_folder(spark, name)
     df.write.parquet(path)
     return spark.read.parquet(path)
 

@@ -142,6 +142,12 @@ class TestTables:
         """The named job tables, each read on its own."""
         return [self.jobs(t) for t in tables]
 
+    def jobs_by_hour(self, *tables: str) -> list[DataFrame]:
+        """The named job tables with jobs spread over their day: three hours
+        per line number (``pandaid % 8``)."""
+        at = F.col("modificationtime") + F.make_dt_interval(hours=(F.col("pandaid") % 8 * 3).cast("int"))
+        return [t.withColumn("modificationtime", at) for t in self.job_tables(*tables)]
+
     @cached_property
     def wanted_datasets(self) -> DataFrame:
         """Identifiers of the datasets to score, as a dataset list holds them:
@@ -191,6 +197,7 @@ class TestTables:
         pairs = F.array(
             F.struct(F.lit("storage").alias("source"), free.alias("free")),
             F.struct(F.lit("accounting").alias("source"), F.lit(0).cast("bigint").alias("free")),
+            F.struct(F.lit("expired").alias("source"), F.col("s_suppkey").cast("bigint").alias("free")),
         )
         return self.raw("supplier").select(F.col("s_suppkey").alias("rse_id"), F.inline(pairs))
 
@@ -338,7 +345,8 @@ class TestTables:
         return o.select(
             F.col("o_orderkey").alias("jeditaskid"),
             F.concat(F.lit("u"), F.col("o_custkey").cast("string")).alias("username"),
-            F.when(F.col("o_orderpriority") < "4", F.lit("anal")).otherwise(F.lit("prod")).alias("tasktype"),
+            F.when(F.col("o_orderpriority") < "4", F.lit("anal")).when(F.col("o_orderpriority") < "5", F.lit("prod"))
+            .otherwise(F.lit("test")).alias("tasktype"),
             F.col("o_orderdate").alias("modificationtime"),
             F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate")).alias("endtime"),
         )
@@ -351,7 +359,8 @@ class TestTables:
         return li.join(p, li.l_partkey == p.p_partkey).select(
             F.col("l_orderkey").alias("jeditaskid"),
             F.concat(prefix, F.lit("."), F.col("p_brand"), F.lit(".DAOD_"), F.col("p_type")).alias("datasetname"),
-            F.when(F.col("l_returnflag") == "R", F.lit("output")).otherwise(F.lit("input")).alias("type"),
+            F.when(F.col("l_returnflag") == "R", F.lit("output")).when(F.col("l_linenumber") == 3, F.lit("log"))
+            .otherwise(F.lit("input")).alias("type"),
             F.when(F.col("l_linenumber") >= 6, F.col("l_linenumber")).alias("masterid"),
         )
 
