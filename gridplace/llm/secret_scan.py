@@ -9,16 +9,26 @@ being random over that alphabet:
 * runs test on the lower and upper half of the alphabet,
 * serial correlation of neighbouring symbols,
 
-combined by Fisher's method.  Being random is the null hypothesis, so the
-tests reject identifiers, paths and word-like strings.  Short strings are
-rejected less easily than long ones; therefore rejections are controlled by
-the Benjamini-Hochberg step within each stratum of encoding and length.  What
-remains is reported as kind ``random`` unless a base span covers it.  Runs of
-letters of one case only (words) and of digits only (numbers) are not tested.
+combined by Fisher's method.  A run is reported when two controlled tests
+agree, each with the Benjamini-Hochberg step within each stratum of encoding
+and length, as short strings are told apart less easily than long ones:
+
+* being random is not rejected (``rate`` bounds the share of random strings
+  that are lost), and
+* being made of words is rejected (``false_rate`` bounds the expected share
+  of identifiers among what is reported): the likelihood of its letters under
+  the letter frequencies of words, and how often it switches between letters
+  and digits, again combined by Fisher's method.
+
+What remains is reported as kind ``random`` unless a base span covers it.
+Runs of letters of one case only (words) and of digits only (numbers) are not
+tested.
 
 The p-values are counted in a fixed number of bins per stratum, so the step
 needs one small aggregate and no global sort; the cut-offs (one per stratum)
-are broadcast.  Texts are scanned once; afterwards only matches move.
+are broadcast.  Texts are scanned once; afterwards only matches move.  All
+statistics are sums over the symbols, so a run takes time in proportion to
+its length.
 
 Defined cases: NULL and empty texts have no spans; every row is scanned on
 its own, so repeated rows and NULL ids each get a row; a very long text has
@@ -28,6 +38,8 @@ empty result; other columns are not read.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,6 +64,14 @@ ALPHABETS = {
     "letters": "+/ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
 }
 BINS, BINS_PER_E = 1000, 20
+#: Letters of English words, a to z, in per cent.
+WORD_LETTERS = (
+    8.167, 1.492, 2.782, 4.253, 12.702, 2.228, 2.015, 6.094, 6.966, 0.153, 0.772, 4.025, 2.406,
+    6.749, 7.507, 1.929, 0.095, 5.987, 6.327, 9.056, 2.758, 0.978, 2.360, 0.150, 1.974, 0.074,
+)
+#: Share of letters that follow no language; how much more than independent letters those of words vary;
+#: characters between switches of letters and digits.
+OTHER_LETTERS, SPREAD, SWITCH_EVERY = 0.1, 1.3, 12
 
 
 def matches(text: Column, kind: int, pattern: str, value: Column | None = None) -> Column:
@@ -87,6 +107,46 @@ def upper_tail(z: Column) -> Column:
     return 1 / (1 + F.exp(z * 1.5976 + z * z * z * 0.070565992))
 
 
+def far_tail(z: Column) -> Column:
+    """P(Z > z), not too small far out, where the fit of ``upper_tail`` is."""
+    z = F.least(z, F.lit(12.0))
+    return F.when(z < 3, upper_tail(z)).otherwise(F.exp(-z * z / 2) / (F.greatest(z, F.lit(3.0)) * math.sqrt(2 * math.pi)))
+
+
+def letter_model() -> tuple[list[float], float, float]:
+    """Log-likelihood ratio of each letter (words against uniform), and its
+    mean and standard deviation in words."""
+    total = sum(WORD_LETTERS)
+    share = [(1 - OTHER_LETTERS) * x / total + OTHER_LETTERS / 26 for x in WORD_LETTERS]
+    ratio = [math.log(26 * x) for x in share]
+    mean = sum(x * r for x, r in zip(share, ratio))
+    return ratio, mean, math.sqrt(sum(x * (r - mean) ** 2 for x, r in zip(share, ratio)))
+
+
+def as_words(df: DataFrame) -> DataFrame:
+    """Adds p_words, the probability that a run of words looks as random as
+    ``value`` does."""
+    ratio, mean, deviation = letter_model()
+    df = df.withColumn("low", F.lower("value"))
+    counts = [F.length("low") - F.length(F.replace("low", F.lit(c), F.lit(""))) for c in "abcdefghijklmnopqrstuvwxyz"]
+    df = df.withColumn("counts", F.array(*counts))
+    letters = F.aggregate("counts", F.lit(0.0), lambda s, c: s + c)
+    evidence = F.aggregate(F.zip_with("counts", F.array(*[F.lit(r) for r in ratio]), lambda c, r: c * r), F.lit(0.0), lambda s, x: s + x)
+    # a letter or digit becomes a or 1; each switch is one place where they meet
+    kinds = F.regexp_replace(F.regexp_replace(F.col("low"), "[a-z]+", "a"), "[0-9]+", "1")
+    met = [(F.length("kinds") - F.length(F.replace("kinds", F.lit(x), F.lit("")))) / 2 for x in ("a1", "1a")]
+    df = df.withColumns({"letters": letters, "evidence": evidence, "kinds": kinds}).withColumn("switches", met[0] + met[1])
+    z = (F.col("letters") * mean - F.col("evidence")) / (deviation * SPREAD * F.sqrt(F.greatest("letters", F.lit(1.0))))
+    df = df.withColumns({"z_letters": z, "z_switches": 2 * (F.sqrt("switches") - F.sqrt(F.length("low") / SWITCH_EVERY))})
+    df = df.withColumns({"p_letters": far_tail(F.col("z_letters")), "p_switches": far_tail(F.col("z_switches"))})
+    df = df.withColumn("against", -(F.log("p_letters") + F.log("p_switches")))
+    # hexadecimal letters are too few to be told from those of words, and runs of letters never switch
+    only = F.when((F.col("encoding") == "hex") | (F.col("letters") == 0), F.col("p_switches")).when(F.col("encoding") == "letters", F.col("p_letters"))
+    return df.withColumn("p_words", F.coalesce(only, F.exp(-F.col("against")) * (1 + F.col("against")))).drop(
+        "low", "counts", "letters", "evidence", "kinds", "switches", "z_letters", "z_switches", "p_letters", "p_switches", "against"
+    )
+
+
 def battery(df: DataFrame) -> DataFrame:
     """Adds p, the combined probability that a random string looks no more
     random than ``value`` does, for the runs with an inferred ``encoding``."""
@@ -110,37 +170,48 @@ def battery(df: DataFrame) -> DataFrame:
     expect = 2 * ones * (n - ones) / n + 1
     spread = (expect - 1) * (expect - 2) / (n - 1)
     runs = F.when(spread > 0, (changes + 1 - expect) / F.sqrt(F.greatest(spread, F.lit(1e-9)))).otherwise(F.lit(8.0))
-    mean = F.aggregate("values", F.lit(0.0), lambda s, x: s + x) / n
-    df = df.withColumns({"chi": chi, "runs": runs, "mean": mean})
-    centred = F.transform("values", lambda x: x - F.col("mean"))
-    df = df.withColumn("centred", centred)
-    total = F.aggregate("centred", F.lit(0.0), lambda s, x: s + x * x)
-    lagged = F.aggregate(
-        F.zip_with(F.slice("centred", 1, F.greatest(F.size("centred") - 1, F.lit(0))), F.slice("centred", 2, F.greatest(F.size("centred") - 1, F.lit(0))), lambda x, y: x * y),
-        F.lit(0.0), lambda s, x: s + x,
+    # one pass: sum, sum of squares, sum of products of neighbours, first and last symbol
+    zero = F.lit(0.0)
+    start = F.struct(zero.alias("s"), zero.alias("q"), zero.alias("lag"), zero.alias("first"), zero.alias("last"))
+    step = lambda a, x: F.struct(
+        (a["s"] + x).alias("s"), (a["q"] + x * x).alias("q"), (a["lag"] + a["last"] * x).alias("lag"),
+        F.when(a["first"] == 0, x).otherwise(a["first"]).alias("first"), x.alias("last"),
     )
-    serial = F.when(total > 0, (lagged / F.nullif(total, F.lit(0.0)) + 1 / n) * F.sqrt(n)).otherwise(F.lit(8.0))
-    half = -(F.log(upper_tail(F.col("chi"))) + F.log(F.least(F.lit(1.0), 2 * upper_tail(F.abs("runs")))) + F.log(F.least(F.lit(1.0), 2 * upper_tail(F.abs(serial)))))
+    df = df.withColumns({"chi": chi, "runs": runs, "sums": F.aggregate("values", start, step)})
+    s = lambda name: F.col(f"sums.{name}")
+    df = df.withColumns({"total": s("q") - s("s") * s("s") / n, "lagged": s("lag") - s("s") / n * (2 * s("s") - s("first") - s("last")) + (n - 1) * s("s") * s("s") / (n * n)})
+    # a run of one symbol has no spread; what the sums leave of it is rounding
+    spread_out = F.col("total") > F.lit(1e-9) * s("q")
+    df = df.withColumn("serial", F.when(spread_out, (F.col("lagged") / F.nullif(F.col("total"), zero) + 1 / n) * F.sqrt(n)).otherwise(F.lit(8.0)))
+    half = -(F.log(upper_tail(F.col("chi"))) + F.log(F.least(F.lit(1.0), 2 * upper_tail(F.abs("runs")))) + F.log(F.least(F.lit(1.0), 2 * upper_tail(F.abs("serial")))))
     df = df.withColumn("half", half)
     return df.withColumn("p", F.exp(-F.col("half")) * (1 + F.col("half") + F.col("half") * F.col("half") / 2)).drop(
-        "coded", "size_of_alphabet", "squares", "halves", "values", "chi", "runs", "mean", "centred", "half"
+        "coded", "size_of_alphabet", "squares", "halves", "values", "chi", "runs", "sums", "total", "lagged", "serial", "half"
     )
 
 
-def cut_offs(tested: DataFrame, rate: float) -> DataFrame:
+def p_bin(p: str) -> Column:
+    return F.least(F.floor(-F.log(F.greatest(p, F.lit(1e-300))) * BINS_PER_E), F.lit(BINS - 1)).cast("int")
+
+
+def cut_offs(tested: DataFrame, p_bins: str, rate: float) -> DataFrame:
     """Per stratum: the first bin of p-values that is rejected."""
-    counts = tested.groupBy("encoding", "octave", "bin").agg(F.count(F.lit(1)).alias("k"))
+    counts = tested.groupBy("encoding", "octave", F.col(p_bins).alias("bin")).agg(F.count(F.lit(1)).alias("k"))
     stratum = Window.partitionBy("encoding", "octave")
     so_far = F.sum("k").over(stratum.orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, 0))
     ranked = counts.select("*", so_far.alias("rank"), F.sum("k").over(stratum).alias("m"))
     passed = F.exp(-F.col("bin") / BINS_PER_E) <= F.lit(rate) * F.col("rank") / F.col("m")
-    return ranked.filter(passed).groupBy("encoding", "octave").agg(F.min("bin").alias("reject_from"))
+    return ranked.filter(passed).groupBy("encoding", "octave").agg(F.min("bin").alias(f"reject_{p_bins}"))
 
 
-def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rate: float = 0.01) -> DataFrame:
+def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rate: float = 0.01, false_rate: float = 0.05) -> DataFrame:
     """Per document: doc_id, n_assign, n_access, n_hex, n_random,
     base_sha256, spans (kind:start:end in code points, end exclusive, by
-    start, then kind)."""
+    start, then kind).
+
+    ``rate``: share of random strings that may be lost; ``false_rate``: share
+    of runs of words among the random spans.
+    """
     text = text_or_empty(text_col)
     kinds = [
         matches(F.col("text"), 0, ASSIGN, F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2))),
@@ -164,18 +235,20 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .withColumn("encoding", F.when(F.col("kind") == 3, inferred(F.col("value"))))
         .filter((F.col("kind") != 3) | F.col("encoding").isNotNull())
     )
-    base = placed.filter("kind < 3").select("uid", "kind", "start", "end", F.lit(None).cast("string").alias("encoding"), F.lit(None).cast("int").alias("octave"), F.lit(None).cast("int").alias("bin"))
-    tested = battery(placed.filter("kind = 3").select("uid", "kind", "start", "end", "encoding", "value")).select(
-        "uid", "kind", "start", "end", "encoding",
-        F.floor(F.log2("n")).cast("int").alias("octave"),
-        F.least(F.floor(-F.log(F.greatest("p", F.lit(1e-300))) * BINS_PER_E), F.lit(BINS - 1)).cast("int").alias("bin"),
+    base = placed.filter("kind < 3").select("uid", "kind", "start", "end", F.lit(None).cast("string").alias("encoding"), *[F.lit(None).cast("int").alias(c) for c in ("octave", "bin", "word_bin")])
+    runs = placed.filter("kind = 3").select("uid", "kind", "start", "end", "encoding", "value")
+    tested = as_words(battery(runs)).select(
+        "uid", "kind", "start", "end", "encoding", F.floor(F.log2("n")).cast("int").alias("octave"), p_bin("p").alias("bin"), p_bin("p_words").alias("word_bin")
     )
     spans = materialize(base.unionByName(tested), "placed_matches")
-    limits = F.broadcast(cut_offs(spans.filter("kind = 3"), rate))  # one row per encoding and power of two of the length
+    random_runs = spans.filter("kind = 3")
+    # one row per encoding and power of two of the length
+    not_random, not_words = F.broadcast(cut_offs(random_runs, "bin", rate)), F.broadcast(cut_offs(random_runs, "word_bin", false_rate))
+    random_too = (F.col("reject_bin").isNull() | (F.col("bin") < F.col("reject_bin"))) & (F.col("word_bin") >= F.col("reject_word_bin"))
     by_start = Window.partitionBy("uid").orderBy("start", "kind").rangeBetween(Window.unboundedPreceding, 0)
     kept = (
-        spans.join(limits, ["encoding", "octave"], "left")
-        .filter((F.col("kind") < 3) | F.col("reject_from").isNull() | (F.col("bin") < F.col("reject_from")))
+        spans.join(not_random, ["encoding", "octave"], "left").join(not_words, ["encoding", "octave"], "left")
+        .filter((F.col("kind") < 3) | random_too)
         .withColumn("covered", F.max(F.when(F.col("kind") < 3, F.col("end"))).over(by_start))
         .filter((F.col("kind") < 3) | F.col("covered").isNull() | (F.col("covered") < F.col("end")))
         .groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("spans"))
