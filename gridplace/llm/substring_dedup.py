@@ -1,16 +1,21 @@
-"""Repeated passages, by joins of content-cut block and window hashes.
-
-These joins replace greedy relative Lempel-Ziv parsing; no factors are formed.
-Every document is both reference and text, so a parse would need an index of
-the whole corpus in each task, while the result only asks which words lie in
-a window that occurs elsewhere.  The corpus is cut into blocks: each window of ``window`` words is assigned to its smallest k-gram
-hash, and the consecutive windows with the same smallest k-gram form a block
-(window + a few words long).  Blocks are cut by content, so equal passages
-give equal blocks wherever they start, and a block that occurs anywhere else
-repeats all its windows at once.  Where a passage begins or ends, the blocks
-differ although they share their k-gram: there the single windows are joined.
-Equal windows share their smallest k-gram, so they lie in equal blocks or in
-differing blocks of one k-gram, and the two steps together are exact.
+"""Repeated passages by relative Lempel-Ziv parsing against all documents.
+
+Every document is both text and reference.  A document is factored greedily
+from left to right; a factor is a longest run of words that are covered by
+windows which occur elsewhere, and the factors are its duplicate spans.
+
+The reference is indexed by blocks instead of positions.  Each window of
+``window`` words is assigned to its smallest k-gram hash, and consecutive
+windows with the same smallest k-gram form a block (window + a few words
+long).  Blocks are cut by content, so equal passages give equal blocks
+wherever they start, and a block that occurs anywhere else puts all its
+windows into a factor at once.  At a factor's boundary - where a passage
+begins or ends - the blocks differ although they share their k-gram: there
+the factor is checked window by window.  Equal windows share their smallest
+k-gram, so they lie in equal blocks or in differing blocks of one k-gram, and
+the two steps together are exact.  Unlike a parse with a suffix structure,
+which no task could hold for all documents, the windows of one factor may
+occur in different places; the result only asks whether they do.
 
 Steps, all linear in the input:
 
@@ -21,10 +26,11 @@ Steps, all linear in the input:
    several blocks in one task (the edge of a frequent passage) is known to
    differ already, so its blocks are dealt by k-gram and block together;
 3. windows of the differing blocks meet the same way;
-4. spans are joined back by document and the words removed.
+4. spans are joined back by document, joined to factors, and the words removed.
 
-Hashes are 64-bit per part and compared in pairs (k-gram and block, or two
-window hashes), 128 bits in all.
+Blocks and windows are equal when the 128-bit BLAKE2b digests of their words
+are: a cryptographic hash of the words themselves, joined by single spaces.
+The k-gram hashes only decide which blocks meet.
 
 Defined cases: NULL and empty texts have no words and keep nothing; a text
 with fewer words than a window is kept whole; documents repeated with the
@@ -52,8 +58,9 @@ SLICE_CHARS = 1 << 20
 BLOCK_BYTES = 1 << 20
 #: Rows a task combines before it hands them on.
 COMBINE_ROWS = 1 << 20
-#: Kinds of rows.  A p with several q in one task is crowded there: its rows
-#: are MULTI and dealt by p and q together, and a CROWD row tells p's other rows.
+#: Kinds of rows.  p is what rows meet by, (q, r) the digest they are compared
+#: by.  A p with several digests in one task is crowded there: its rows are
+#: MULTI and dealt by p and q together, and a CROWD row tells p's other rows.
 SPAN, BLOCK, BOUNDARY, MULTI, CROWD = range(5)
 
 
@@ -93,16 +100,16 @@ class Powers:
 
 
 @cache
-def tables() -> tuple[np.ndarray, np.ndarray, Powers, Powers, Powers]:
+def tables() -> tuple[np.ndarray, np.ndarray, Powers, Powers]:
     white = np.zeros(256, bool)
     white[[9, 10, 11, 12, 13, 32]] = True
     letters = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    return white, letters, Powers(0xD1342543DE82EF95), Powers(0xAF251AF3B0F025B5), Powers(0xDA942042E4DD58B5)
+    return white, letters, Powers(0xD1342543DE82EF95), Powers(0xAF251AF3B0F025B5)
 
 
 def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Start offsets and hashes of the words of a buffer."""
-    white, letters, base, _, _ = tables()
+    white, letters, base, _ = tables()
     all_bytes = np.frombuffer(data, np.uint8)
     starts, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
     at = 0
@@ -122,25 +129,41 @@ def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(starts), np.concatenate(hashes)
 
 
-def words_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes of all texts in a row, and the first word of each text."""
-    coded = [t.encode("utf-8", "surrogatepass") for t in texts]
-    begin = np.concatenate(([0], np.cumsum([len(c) + 1 for c in coded])))
-    starts, hashes = word_hashes(b"\n".join(coded))
-    return hashes, np.searchsorted(starts, begin)
+class Words:
+    """The words of several texts in a row: their hashes, the first word of
+    each text, and digests of any of their runs."""
+
+    def __init__(self, texts: list[str]) -> None:
+        coded = [t.encode("utf-8", "surrogatepass") for t in texts]
+        data = b"\n".join(coded)
+        starts, self.hashes = word_hashes(data)
+        self.begin = np.searchsorted(starts, np.concatenate(([0], np.cumsum([len(c) + 1 for c in coded]))))
+        words = data.split()
+        self.spaced = b" ".join(words)
+        self.end = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)  # one behind each word
+
+    def digests(self, first: np.ndarray, count: np.ndarray | int) -> tuple[np.ndarray, np.ndarray]:
+        """Both halves of the digest of ``count`` words from ``first``."""
+        spaced, blake = self.spaced, hashlib.blake2b
+        last = self.end[first + count - 1] - 1
+        from_ = np.where(first > 0, self.end[first - 1], 0)
+        found = b"".join([blake(spaced[a:b], digest_size=16).digest() for a, b in zip(from_.tolist(), last.tolist())])
+        halves = np.frombuffer(found, np.uint64).reshape(-1, 2)
+        return halves[:, 0].copy(), halves[:, 1].copy()
 
 
 def blocks_of(texts: list[str], window: int) -> tuple[np.ndarray, ...]:
-    """gram, block (hashes), text number, first window and number of windows
-    of each block."""
-    _, _, _, one, _ = tables()
-    hashes, begin = words_of(texts)
+    """gram hash, digest (two halves), text number, first window and number of
+    windows of each block."""
+    _, _, _, one = tables()
+    words = Words(texts)
+    begin = words.begin
     gram = min(GRAM, window)
-    n = len(hashes)
+    n = len(words.hashes)
     none = np.zeros(0, np.uint64)
     if n < window:
-        return none, none, *(np.zeros(0, np.int64) for _ in range(3))
-    sums = one.sums(hashes)
+        return none, none, none, *(np.zeros(0, np.int64) for _ in range(3))
+    sums = one.sums(words.hashes)
     index = np.arange(n - gram + 1)
     grams = one.parts(sums, index, index + gram)
     wide = window - gram + 1
@@ -149,52 +172,48 @@ def blocks_of(texts: list[str], window: int) -> tuple[np.ndarray, ...]:
     whole = np.arange(n - window + 1) + window <= begin[text + 1]
     at = np.flatnonzero(whole)
     if not len(at):
-        return none, none, *(np.zeros(0, np.int64) for _ in range(3))
+        return none, none, none, *(np.zeros(0, np.int64) for _ in range(3))
     new = np.ones(len(at), bool)
     new[1:] = (anchor[at[1:]] != anchor[at[:-1]]) | (at[1:] != at[:-1] + 1) | (text[at[1:]] != text[at[:-1]])
     first = at[new]
     size = np.diff(np.append(np.flatnonzero(new), len(at)))
-    whole_block = one.parts(sums, first, first + size + window - 1)
-    shape = mix((size * window + anchor[first] - first).astype(np.uint64))
-    return grams[anchor[first]], mix(whole_block ^ shape), text[first], first - begin[text[first]], size
+    return grams[anchor[first]], *words.digests(first, size + window - 1), text[first], first - begin[text[first]], size
 
 
 def windows_of(text: str, spans: list[tuple[int, int, bool]], window: int) -> tuple[np.ndarray, ...]:
-    """Two hashes, place and settled flag of each window in the spans."""
-    _, _, _, one, two = tables()
-    hashes, _ = words_of([text])
+    """Digest (two halves), place and settled flag of each window in the spans."""
     at = np.concatenate([np.arange(s, s + n) for s, n, _ in spans])
     settled = np.repeat([x[2] for x in spans], [x[1] for x in spans])
-    return one.parts(one.sums(hashes), at, at + window), two.parts(two.sums(hashes), at, at + window), at, settled
+    return *Words([text]).digests(at, window), at, settled
 
 
 def schema(id_type: str) -> str:
-    return f"kind byte, p long, q long, doc_id {id_type}, key long, at int, n int, settled boolean"
+    return f"kind byte, p long, q long, r long, doc_id {id_type}, key long, at int, n int, settled boolean"
 
 
-NAMES = ["kind", "p", "q", "doc_id", "key", "at", "n", "settled"]
+NAMES = ["kind", "p", "q", "r", "doc_id", "key", "at", "n", "settled"]
 
 
-def rows(kind, p, q, doc_id, key, at, n, settled) -> pa.RecordBatch:
+def rows(kind, p, q, r, doc_id, key, at, n, settled) -> pa.RecordBatch:
     size = len(at)
     cols = [
-        pa.array(np.full(size, kind, np.int8)), pa.array(np.asarray(p).view(np.int64)), pa.array(np.asarray(q).view(np.int64)), doc_id,
+        pa.array(np.full(size, kind, np.int8)), *(pa.array(np.asarray(x).view(np.int64)) for x in (p, q, r)), doc_id,
         pa.array(np.asarray(key, np.int64)), pa.array(np.asarray(at, np.int32)), pa.array(np.asarray(n, np.int32)), pa.array(np.asarray(settled, bool)),
     ]
     return pa.RecordBatch.from_arrays(cols, NAMES)
 
 
 class Combiner:
-    """Rows of one task, equal (p, q) settled where they lie: all but the
+    """Rows of one task, equal (p, q, r) settled where they lie: all but the
     first become spans, the first goes on for the other tasks."""
 
     def __init__(self) -> None:
         self.parts: list[tuple] = []
         self.size = 0
 
-    def add(self, p, q, ids, key, at, n, settled) -> Iterator[pa.RecordBatch]:
+    def add(self, p, q, r, ids, key, at, n, settled) -> Iterator[pa.RecordBatch]:
         if len(at):
-            self.parts.append((p, q, ids, key, at, n, settled))
+            self.parts.append((p, q, r, ids, key, at, n, settled))
             self.size += len(at)
         if self.size >= COMBINE_ROWS:
             yield from self.flush()
@@ -202,18 +221,19 @@ class Combiner:
     def flush(self) -> Iterator[pa.RecordBatch]:
         if not self.parts:
             return
-        p, q, key, at, n, settled = (np.concatenate([x[i] for x in self.parts]) for i in (0, 1, 3, 4, 5, 6))
-        ids = pa.concat_arrays([x[2] for x in self.parts])
+        p, q, r, key, at, n, settled = (np.concatenate([x[i] for x in self.parts]) for i in (0, 1, 2, 4, 5, 6, 7))
+        ids = pa.concat_arrays([x[3] for x in self.parts])
         self.parts, self.size = [], 0
-        order = np.lexsort((q, p))
-        same = (p[order][1:] == p[order][:-1]) & (q[order][1:] == q[order][:-1])
+        order = np.lexsort((r, q, p))
+        same = (p[order][1:] == p[order][:-1]) & (q[order][1:] == q[order][:-1]) & (r[order][1:] == r[order][:-1])
         later = np.concatenate(([False], same))
         double = later | np.concatenate((same, [False]))
         spans = order[double & ~settled[order]]
         if len(spans):
             # copies of one text share its key, so spans are dealt by their place here
             deal = mix(key[spans].view(np.uint64) + np.arange(len(spans), dtype=np.uint64))
-            yield rows(SPAN, deal, np.zeros(len(spans), np.int64), ids.take(pa.array(spans)), key[spans], at[spans], n[spans], np.ones(len(spans), bool))
+            zero = np.zeros(len(spans), np.int64)
+            yield rows(SPAN, deal, zero, zero, ids.take(pa.array(spans)), key[spans], at[spans], n[spans], np.ones(len(spans), bool))
         on = order[~later]
         flags = settled[on] | double[~later]
         same_p = p[on][1:] == p[on][:-1]
@@ -222,11 +242,11 @@ class Combiner:
             i = on[pick]
             if len(i):
                 deal = p[i] if kind == BLOCK else spread(p[i], q[i])
-                yield rows(kind, deal, q[i], ids.take(pa.array(i)), key[i], at[i], n[i], flags[pick])
+                yield rows(kind, deal, q[i], r[i], ids.take(pa.array(i)), key[i], at[i], n[i], flags[pick])
         crowds = np.unique(p[on][crowded])
         if len(crowds):
             zero = np.zeros(len(crowds), np.int64)
-            yield rows(CROWD, crowds, np.full(len(crowds), np.iinfo(np.int64).min), pa.nulls(len(crowds), ids.type), zero, zero, zero, zero)
+            yield rows(CROWD, crowds, np.full(len(crowds), np.iinfo(np.int64).min), zero, pa.nulls(len(crowds), ids.type), zero, zero, zero, zero)
 
 
 def spread(p: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -235,17 +255,17 @@ def spread(p: np.ndarray, q: np.ndarray) -> np.ndarray:
 
 
 def settler(kind: int):
-    """Rows sorted by (p, q) -> spans and boundaries; other kinds pass.
+    """Rows sorted by (p, q, r) -> spans and boundaries; other kinds pass.
 
-    BLOCK: rows whose (p, q) occurs twice become spans; of a p with several q,
-    one row of each q is a boundary; rows of a p that is crowded in some task
-    (its CROWD row sorts first) go on as MULTI.  MULTI: p is known to have
-    several q, so one row of each (p, q) is a boundary.  One row is held back,
+    BLOCK: rows whose (p, q, r) occurs twice become spans; of a p with several
+    digests, one row of each is a boundary; rows of a p that is crowded in some
+    task (its CROWD row sorts first) go on as MULTI.  MULTI: p is known to have
+    several digests, so one row of each is a boundary.  One row is held back,
     so equal rows without end need no memory.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.RecordBatch | None = None
-        before: tuple | None = None  # of the row before the held one: p, q, is q the first of its p, is p crowded
+        before: tuple | None = None  # of the row before the held one: p, q, r, is its digest the first of its p, is p crowded
         for batch in _with_end(batches):
             last = batch is None
             if last and held is None:
@@ -258,15 +278,15 @@ def settler(kind: int):
             ready = size if last else size - 1
             if ready:
                 kinds = table.column(0).to_numpy()
-                p, q = table.column(1).to_numpy(), table.column(2).to_numpy()
-                settled = table.column(7).to_numpy(zero_copy_only=False)
+                p, q, r = (table.column(i).to_numpy() for i in (1, 2, 3))
+                settled = table.column(8).to_numpy(zero_copy_only=False)
                 mine = kinds == kind
                 same_p = np.empty(size, bool)
                 same_p[0] = before is not None and p[0] == before[0]
                 same_p[1:] = p[1:] == p[:-1]
                 same = same_p.copy()
-                same[0] = same_p[0] and q[0] == before[1]
-                same[1:] &= q[1:] == q[:-1]
+                same[0] = same_p[0] and q[0] == before[1] and r[0] == before[2]
+                same[1:] &= (q[1:] == q[:-1]) & (r[1:] == r[:-1])
                 next_p, next_same = np.append(same_p[1:], False), np.append(same[1:], False)
 
                 def from_start(start: np.ndarray, value: np.ndarray, carried: bool) -> np.ndarray:
@@ -275,8 +295,8 @@ def settler(kind: int):
                     at = np.flatnonzero(start)
                     return np.where(run >= 0, value[at[np.maximum(run, 0)]] if len(at) else carried, carried)
 
-                first = from_start(~same, ~same_p, before[2] if before else True)
-                crowded = from_start(~same_p, kinds == CROWD, before[3] if before else False)
+                first = from_start(~same, ~same_p, before[3] if before else True)
+                crowded = from_start(~same_p, kinds == CROWD, before[4] if before else False)
                 double = same | next_same
                 if kind == MULTI:
                     edge = mine & ~next_same
@@ -293,12 +313,12 @@ def settler(kind: int):
                         t = table.take(pa.array(at))
                         u, v = p[at].view(np.uint64), q[at].view(np.uint64)
                         u = np.where(kinds[at] == MULTI, u, spread(u, v)) if hashes else np.zeros(len(at), np.uint64)
-                        yield rows(what, u, v, t.column(3), t.column(4).to_numpy(), t.column(5).to_numpy(), t.column(6).to_numpy(), flags[at])
+                        yield rows(what, u, v, r[at], t.column(4), t.column(5).to_numpy(), t.column(6).to_numpy(), t.column(7).to_numpy(), flags[at])
 
                 yield from out(SPAN, span, np.ones(size, bool))
                 yield from out(BOUNDARY, edge, double | settled)
                 yield from out(MULTI, onward, settled, hashes=True)
-                before = (p[ready - 1], q[ready - 1], bool(first[ready - 1]), bool(crowded[ready - 1]))
+                before = (p[ready - 1], q[ready - 1], r[ready - 1], bool(first[ready - 1]), bool(crowded[ready - 1]))
             held = None if last else table.slice(ready)
             if last:
                 return
@@ -315,7 +335,7 @@ def _with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | No
 
 def meet(found: DataFrame, id_type: str, kind: int = BLOCK) -> DataFrame:
     """Deal rows by p and settle equal ones.  Spans only travel along."""
-    return map_arrow(found.repartition("p").sortWithinPartitions("p", "q"), settler(kind), schema(id_type))
+    return map_arrow(found.repartition("p").sortWithinPartitions("p", "q", "r"), settler(kind), schema(id_type))
 
 
 def repeated_spans(docs: DataFrame, window: int, id_type: str) -> DataFrame:
@@ -326,9 +346,9 @@ def repeated_spans(docs: DataFrame, window: int, id_type: str) -> DataFrame:
         for batch in batches:
             keys = batch.column(1).to_numpy()
             for a, texts in text_slices(batch.column(2), SLICE_CHARS):
-                gram, block, text, at, n = blocks_of(texts, window)
+                gram, q, r, text, at, n = blocks_of(texts, window)
                 who = text + a
-                yield from combine.add(gram, block, batch.column(0).take(pa.array(who)), keys[who], at, n, np.zeros(len(at), bool))
+                yield from combine.add(gram, q, r, batch.column(0).take(pa.array(who)), keys[who], at, n, np.zeros(len(at), bool))
         yield from combine.flush()
 
     first = materialize(meet(map_arrow(docs, find, schema(id_type)), id_type), "repeated_blocks")
@@ -343,7 +363,7 @@ def repeated_spans(docs: DataFrame, window: int, id_type: str) -> DataFrame:
                 spans = [(s["at"], s["n"], s["settled"]) for s in batch.column(3)[i].as_py()]
                 p, q, at, settled = windows_of(batch.column(2)[i].as_py() or "", spans, window)
                 who = pa.array(np.full(len(at), i))
-                yield from combine.add(p, q, batch.column(0).take(who), np.full(len(at), batch.column(1)[i].as_py()), at, np.ones(len(at), np.int64), settled)
+                yield from combine.add(p, q, np.zeros(len(at), np.uint64), batch.column(0).take(who), np.full(len(at), batch.column(1)[i].as_py()), at, np.ones(len(at), np.int64), settled)
         yield from combine.flush()
 
     second = meet(map_arrow(with_rows(docs, edges, "inner"), compare, schema(id_type)), id_type)
@@ -358,13 +378,28 @@ def with_rows(docs: DataFrame, spans: DataFrame, how: str) -> DataFrame:
     return docs.join(s, same, how).select("doc_id", "key", "text", "spans")
 
 
+def greedy_factors(at: np.ndarray, n: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """First word and number of words of the factors of runs of n windows at
+    ``at``: from left to right, each run goes on as long as the next window
+    overlaps it or follows it."""
+    order = np.argsort(at, kind="stable")
+    first, end = at[order].astype(np.int64), np.maximum.accumulate((at + n)[order].astype(np.int64) + window - 1)
+    new = np.ones(len(first), bool)
+    new[1:] = first[1:] > end[:-1]
+    begin = np.flatnonzero(new)
+    last = np.append(begin[1:], len(first))[: len(begin)] - 1
+    return first[begin], end[last] - first[begin]
+
+
 def substring_dedup(docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_col: str = "text", with_text: bool = True) -> DataFrame:
     """Per document: doc_id, n_words, n_removed, kept_sha256 and, with
-    ``with_text``, kept (the words left, joined by one space)."""
+    ``with_text``, kept (the words left, joined by one space) and factors
+    (first word and number of words of each duplicate span)."""
     base = docs.select(F.col(id_col).alias("doc_id"), row_key(text_col).alias("key"), F.col(text_col).alias("text"))
     id_type = base.schema["doc_id"].dataType.simpleString()
     spans = repeated_spans(base, window, id_type).groupBy("doc_id", "key").agg(F.collect_list(F.struct("at", "n")).alias("spans"))
-    names = ["doc_id", "n_words", "n_removed", "kept_sha256"] + ["kept"] * with_text
+    names = ["doc_id", "n_words", "n_removed", "kept_sha256"] + ["kept", "factors"] * with_text
+    factor_type = pa.list_(pa.struct([("at", pa.int64()), ("n", pa.int64())]))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -374,17 +409,18 @@ def substring_dedup(docs: DataFrame, window: int = 35, id_col: str = "doc_id", t
                 for text, spans in zip(part.column(2), part.column(3)):
                     words = (text.as_py() or "").encode("utf-8", "surrogatepass").split()
                     n = len(words)
+                    factors: list[tuple[int, int]] = []
                     if spans.is_valid:
-                        at = spans.values.field("at").to_numpy()
-                        end = at + spans.values.field("n").to_numpy() + window - 1
-                        depth = np.zeros(n + 1, np.int64)
-                        np.add.at(depth, at, 1)
-                        np.add.at(depth, end, -1)
-                        words = [words[i] for i in np.flatnonzero(np.cumsum(depth[:-1]) == 0).tolist()]
+                        first, count = greedy_factors(spans.values.field("at").to_numpy(), spans.values.field("n").to_numpy(), window)
+                        factors = list(zip(first.tolist(), count.tolist()))
+                        edges = [0, *(x for at, k in factors for x in (at, at + k)), n]
+                        words = [w for a_, b_ in zip(edges[::2], edges[1::2]) for w in words[a_:b_]]
                     kept = b" ".join(words)
-                    out.append((n, n - len(words), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "replace") if with_text else None))
-                n, removed, digest, kept = zip(*out)
+                    shown = (kept.decode("utf-8", "replace"), [{"at": at, "n": k} for at, k in factors]) if with_text else (None, None)
+                    out.append((n, n - len(words), hashlib.sha256(kept).hexdigest(), *shown))
+                n, removed, digest, kept, factors = zip(*out)
                 cols = [part.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(digest, pa.string())]
-                yield pa.RecordBatch.from_arrays(cols + [pa.array(kept, pa.string())] * with_text, names)
+                yield pa.RecordBatch.from_arrays(cols + [pa.array(kept, pa.string()), pa.array(factors, factor_type)] * with_text, names)
 
-    return map_arrow(with_rows(base, spans, "left"), remove, f"doc_id {id_type}, n_words long, n_removed long, kept_sha256 string" + ", kept string" * with_text)
+    more = ", kept string, factors array<struct<at: long, n: long>>" if with_text else ""
+    return map_arrow(with_rows(base, spans, "left"), remove, f"doc_id {id_type}, n_words long, n_removed long, kept_sha256 string" + more)
