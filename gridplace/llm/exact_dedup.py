@@ -7,7 +7,8 @@ bounded state per task, merged once).  Its candidates are verified by exact
 counts, which combine on the map side, and the verified winners - a bounded
 number of rows - are broadcast: their copies are decided where they lie,
 without a shuffle.  The remaining digests, each at most ``rows / counters``
-rows, meet by an ordinary shuffle.
+rows, meet by an ordinary shuffle: their counts and winners are one combining
+aggregate, joined back to the rows, so no group is held in one task.
 
 Defined cases: NULL text counts as the empty text; NULL ids sort below all
 ids; of repeated rows (same id, same text) exactly one stays; an empty table
@@ -19,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridplace.llm.common import keep_rows, materialize, text_or_empty
@@ -61,11 +62,10 @@ def exact_dedup(
         "hot_digests",
     )
     marked = rows.join(F.broadcast(hot), "digest", "left")
-    same = Window.partitionBy("digest")
-    rest = marked.filter(F.col("winner").isNull()).select(
-        "doc_id", "uid", "digest",
-        F.count(F.lit(1)).over(same).alias("group_size"),
-        F.max(F.struct("doc_id", "uid")).over(same).alias("winner"),
+    # counts combine on the map side; the join back is a plain shuffle join that AQE can split
+    others = marked.filter(F.col("winner").isNull()).select("doc_id", "uid", "digest")
+    rest = others.join(others.groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"), winner), "digest").select(
+        "doc_id", "uid", "digest", "group_size", "winner"
     )
     decided = marked.filter(F.col("winner").isNotNull()).select("doc_id", "uid", "digest", "group_size", "winner")
     return decided.unionByName(rest).select(
