@@ -198,10 +198,12 @@ def read_records(source, with_payload: bool = False) -> Iterator[Record]:
 
 
 def first_copies(pages: DataFrame, min_revisit_bytes: int) -> DataFrame:
-    """(id, key, refers_to) of the pages that revisit another one."""
+    """(id, key, refers_to) of the pages that revisit another one.  A revisit
+    drops its payload, so payloads are equal when their SHA-256 is; the SHA-1
+    of the records is no reason to drop one."""
     digests = materialize(
         pages.filter(F.octet_length("payload") >= min_revisit_bytes).select(
-            "id", "key", F.unhex(F.sha1(F.col("payload").cast("binary"))).alias("digest")
+            "id", "key", F.unhex(F.sha2(F.col("payload").cast("binary"), 256)).alias("digest")
         ),
         "payload_digests",
     )
