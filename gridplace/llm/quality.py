@@ -191,10 +191,16 @@ def _input(docs: DataFrame, id_col: str, text_col: str, length_col: str | None)
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = "n_chars", label_col: str = "quality", max_fit: int = MAX_FIT) -> Machine:
-    """Fit on at most ``max_fit`` labelled rows that are not held out."""
+    """Fit on at most ``max_fit`` labelled rows that are not held out.
+
+    Of documents that repeat a labelled id, the text with the smallest hash is
+    taken; an id with two labels counts with both.
+    """
     known = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label")).filter("label is not null and doc_id is not null")
-    chosen = known.filter(~held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(max_fit)
-    rows = _input(docs, id_col, text_col, length_col).join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text", "stored")
+    chosen = known.filter(~held_out(F.col("doc_id"))).distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(max_fit)
+    every = _input(docs, id_col, text_col, length_col).join(F.broadcast(chosen), "doc_id")
+    first = F.min(F.struct(F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"), "text", "stored")).alias("first")
+    rows = every.groupBy("doc_id", "label").agg(first).select("doc_id", "label", "first.text", "first.stored")
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
