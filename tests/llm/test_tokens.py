@@ -88,3 +88,24 @@ def test_queries_on_hard_rows(spark, library):
     assert by_id(out.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256").collect()) == by_id(want)
     assert by_id((r.doc_id, tuple(r.ids), r.decoded) for r in out.collect()) == by_id((i, tuple(x), t or "") for (i, t), x in zip(rows, ids))
     assert token_counts(frame(spark, []), PATH).collect() == [] and bpe_encode(frame(spark, []), PATH).collect() == []
+
+
+@pytest.mark.parametrize("chunk, task", [(7, 0), (16, 40), (1 << 10, 1 << 14)])
+def test_long_texts_are_counted_by_several_tasks(spark, library, chunk, task):
+    rows = [(700 + i, t) for i, t in enumerate(ODD)] + [(900, "the " * 3000 + "<|endoftext|>" + "z" * 5000 + "<|endoftext|>")]
+    if task > 1000:
+        rows += hard_rows()
+    got = token_counts(frame(spark, rows).repartition(3), PATH, chunk_chars=chunk, task_chars=task)
+    want = [(i, len((t or "").encode()), len(library.encode(t or "", add_special_tokens=False).ids)) for i, t in rows]
+    assert by_id((r.doc_id, r.n_bytes, r.n_tokens) for r in got.collect()) == by_id(want)
+
+
+def test_one_long_text_is_cut_over_tasks(spark):
+    from gridplace.llm import token_count as M
+
+    text = " ".join(f"word{i}" for i in range(20_000))
+    df = spark.createDataFrame([(1, text, len(text))], "doc_id long, text string, n_bytes long")
+    parts = M._count_by_chunks(df, PATH, 1000)
+    plan = parts._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(uid" in plan and "part" in plan.split("hashpartitioning(uid", 2)[-1][:40]  # chunks of one text in several tasks
+    assert parts.collect()[0].n_tokens == Tokenizer(PATH).count([text])[0]
