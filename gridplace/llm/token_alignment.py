@@ -14,9 +14,11 @@ combine on the map side.  The ``hot_pairs`` most frequent pairs, a bounded
 table, are broadcast, so the pairs that nearly every document holds are summed
 where they lie; the remaining pairs meet their counts by a shuffle.
 
-Tokenizer A is a byte-level BPE vocabulary, run through the trie codec; B is a
-sentencepiece BPE model without merges across spaces, whose words are encoded
-by the library once and remembered up to a bound.
+Tokenizer A is a byte-level BPE vocabulary: new words are encoded by a library
+that merges by rank of the merged bytes, and checked pair by pair against the
+vocabulary's own merge rules (a word that fails goes through the trie codec).
+B is a sentencepiece BPE model without merges across spaces, whose words are
+encoded by its library.  Both remember words up to a bound.
 
 Defined cases: NULL and empty texts, and texts whose joined token bytes are
 not a space and the text in both tokenizers, have no tokens: zeros and an
@@ -50,6 +52,69 @@ HOT_PAIRS = 1 << 16
 SPACE_MARK = "▁"
 
 
+class WordCodec(Codec):
+    """The codec of a byte-level vocabulary with faster first encounters.
+
+    A token sequence is an encoding exactly when each adjacent pair is
+    (``bpe_pairs``), so an answer of the ranking library is checked by its
+    pairs, of which there are far fewer than words."""
+
+    def __init__(self, path: str) -> None:
+        import tiktoken
+
+        super().__init__(path)
+        merged = sorted((rank, token) for token, (rank, _, _) in self.vocab.halves.items())
+        ranks = {bytes((b,)): b for b in range(256)} | {self.vocab.bytes_of[token]: 256 + k for k, (_, token) in enumerate(merged)}
+        self.ranked = tiktoken.Encoding("ranks", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+        self.id_of_rank = np.zeros(len(ranks), np.int64)
+        for data, rank in ranks.items():
+            self.id_of_rank[rank] = self.vocab.ids[data]
+        self.good = np.zeros(0, np.int64)  # pairs known to stand, sorted
+
+    def _standing(self, pairs: np.ndarray) -> np.ndarray:
+        """Which of the pairs (left << 32 | right) may stand side by side."""
+        at = np.searchsorted(self.good, pairs)
+        known = np.zeros(len(pairs), bool)
+        inside = at < len(self.good)
+        known[inside] = self.good[at[inside]] == pairs[inside]
+        new = np.unique(pairs[~known])
+        if len(new):
+            may = self.vocab.may_follow
+            fine = new[[may(int(p >> 32), int(p & 0xFFFFFFFF)) for p in new]]
+            if len(self.good) > MEMO_IDS:
+                self.good = np.zeros(0, np.int64)
+            self.good = np.union1d(self.good, fine)
+            known |= np.isin(pairs, fine)
+        return known
+
+    def _add(self, words: list[str]) -> None:
+        encode = self.ranked.encode_ordinary
+        coded = [encode(w) for w in words]
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded))
+        flat = self.id_of_rank[np.fromiter((i for c in coded for i in c), np.int64, int(sizes.sum()))]
+        ends = np.cumsum(sizes)
+        within = np.ones(max(0, len(flat) - 1), bool)
+        within[ends[:-1] - 1] = False
+        stands = np.ones(len(within), bool)
+        stands[within] = self._standing((flat[:-1] << 32 | flat[1:])[within])
+        if not stands.all():  # the library's rule differs there
+            bad = set(np.searchsorted(ends, np.flatnonzero(~stands), "right").tolist())
+            keep = [i for i in range(len(words)) if i not in bad]
+            super()._add([words[i] for i in sorted(bad)])
+            if keep:
+                self._add([words[i] for i in keep])
+            return
+        known, need = len(self.memo), self.used + len(flat)
+        if need > len(self.ids):
+            self.ids = np.concatenate((self.ids, np.zeros(max(len(self.ids), need), np.uint32)))
+        if known + len(words) + 1 > len(self.offsets):
+            self.offsets = np.concatenate((self.offsets, np.zeros(max(len(self.offsets), len(words) + 1), np.int64)))
+        self.ids[self.used : need] = flat
+        self.offsets[known + 1 : known + 1 + len(words)] = self.used + ends
+        self.memo.update(zip(words, range(known, known + len(words))))
+        self.used = need
+
+
 class Pieces:
     """Ids of a sentencepiece BPE model, and the bytes of each id."""
 
@@ -130,15 +195,16 @@ class Strings:
         return self.data[ranges(self.at[numbers], self.size[numbers])].tobytes()
 
 
-def gallop(short: np.ndarray, long: np.ndarray) -> np.ndarray:
+def gallop(short: np.ndarray, long: np.ndarray, start: np.ndarray | None = None) -> np.ndarray:
     """How many of ``long`` are less than each of ``short``, both sorted.
 
-    Each search starts at its rank's share of the longer list, doubles its
-    step until it has passed its value, and halves the bracket."""
+    Each search starts at ``start``, by default its rank's share of the longer
+    list, doubles its step until it has passed its value, and halves the
+    bracket."""
     n = len(long)
     if not n:
         return np.zeros(len(short), np.int64)
-    start = np.arange(len(short)) * n // max(1, len(short))
+    start = np.arange(len(short)) * n // max(1, len(short)) if start is None else np.minimum(start, n - 1)
     upward = long[start] < short
     low, high = np.where(upward, start, -1), np.where(upward, n, start)  # long[low] < value <= long[high]
     todo, step = np.arange(len(short)), 1
@@ -162,13 +228,25 @@ def gallop(short: np.ndarray, long: np.ndarray) -> np.ndarray:
     return high
 
 
-def overlaps(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def shares(n_short: np.ndarray, n_long: np.ndarray) -> np.ndarray:
+    """Where each token of the shorter lists should be in the longer lists, if
+    every text's tokens are spread evenly."""
+    first_short, first_long = np.cumsum(n_short) - n_short, np.cumsum(n_long) - n_long
+    rank = np.arange(int(n_short.sum())) - np.repeat(first_short, n_short)
+    return np.repeat(first_long, n_short) + (rank * np.repeat(n_long / np.maximum(n_short, 1), n_short)).astype(np.int64)
+
+
+def overlaps(
+    ends_a: np.ndarray, ends_b: np.ndarray, n_a: np.ndarray | None = None, n_b: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Common flags of the tokens of A and of B, and the places of all token
     pairs whose byte ranges overlap.  Both lists begin at the same byte and
-    end at the same byte."""
+    end at the same byte.  ``n_a``, ``n_b``: tokens of the texts laid end to
+    end."""
     swap = len(ends_b) < len(ends_a)
     short, long = (ends_b, ends_a) if swap else (ends_a, ends_b)
-    rank = gallop(short, long)
+    start = None if n_a is None else shares(n_b, n_a) if swap else shares(n_a, n_b)
+    rank = gallop(short, long, start)
     equal = np.zeros(len(short), bool)
     equal[rank < len(long)] = long[rank[rank < len(long)]] == short[rank < len(long)]
     common = np.zeros(len(long), bool)
@@ -182,7 +260,7 @@ def overlaps(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.nda
 
 class Aligner:
     def __init__(self, path_a: str, path_b: str) -> None:
-        self.a, self.b = Codec(path_a), Pieces(path_b)
+        self.a, self.b = WordCodec(path_a), Pieces(path_b)
         bytes_a = self.a.vocab.bytes_of
         self.bytes_a = Strings([bytes_a.get(i, b"") for i in range(max(bytes_a) + 1)])
         self.bytes_b = Strings(self.b.bytes_of)
@@ -216,7 +294,7 @@ class Aligner:
         at, n_a, n_b, a, b = self.tokens(texts)
         if not len(at):
             return out
-        common_a, common_b, link_a, link_b = overlaps(np.cumsum(self.bytes_a.size[a]), np.cumsum(self.bytes_b.size[b]))
+        common_a, common_b, link_a, link_b = overlaps(np.cumsum(self.bytes_a.size[a]), np.cumsum(self.bytes_b.size[b]), n_a, n_b)
         # groups as text: each token goes behind the tokens of both sides that stand before it
         group_a, group_b = np.cumsum(common_a) - common_a, np.cumsum(common_b) - common_b
         n_groups = int(common_a.sum())

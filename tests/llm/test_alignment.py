@@ -114,3 +114,24 @@ def test_overlaps_of_either_side():
         assert x[cx].tolist() == y[cy].tolist() == [2, 9]
 
 
+
+
+def test_words_on_which_the_ranking_library_differs(spark):
+    """An answer with a pair that may not stand goes through the trie."""
+    from gridplace.llm.bpe_codec import Codec
+    from gridplace.llm.token_alignment import WordCodec
+
+    class Wrong:
+        def __init__(self, right):
+            self.right = right
+
+        def encode_ordinary(self, word):
+            return list(word.encode()) if len(word) % 2 else self.right.encode_ordinary(word)
+
+    codec = WordCodec(A)
+    codec.ranked = Wrong(codec.ranked)
+    texts = [r[1] for r in hard_rows() if r[1] and r[0] not in (300, 301)]
+    for _ in range(2):
+        ids, counts = codec.encode_pieces(texts)
+        want, each = Codec(A).encode_pieces(texts)
+        assert ids.tolist() == want.tolist() and counts.tolist() == each.tolist()
