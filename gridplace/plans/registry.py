@@ -25,7 +25,7 @@ from gridplace.operators import scoring as SC
 from gridplace.operators import shares as S
 from gridplace.operators import topology as T
 from gridplace.plans import params as P
-from gridplace.session import materialize, new_folder
+from gridplace.session import materialize, materialize_all, new_folder
 from gridplace.sources.commits import read_committed, write_committed
 from gridplace.sources.nested import parse_queue_catalogue, parse_storage_json
 from gridplace.sources.readers import read_dataset_list, read_records, read_snapshot, split_dataset_ids
@@ -151,22 +151,23 @@ def _candidates(tt: TestTables) -> DataFrame:
     return CA.merged_candidates(queues, _metrics(tt, P.JOBS_AS_OF, P.SCORING_DAYS), storage)
 
 
-def _distance_table(tt: TestTables) -> DataFrame:
-    """The endpoint distances as a table: closeness reads them twice."""
-    return materialize(T.endpoint_distances(tt.distances, tt.rses), "distances")
-
-
 def _closeness(tt: TestTables) -> DataFrame:
-    sources = materialize(CA.official_sources(_replicas(tt)), "official_sources")
-    return CA.closeness(_candidates(tt), _distance_table(tt), sources)
+    sources, distances = materialize_all(
+        official_sources=CA.official_sources(_replicas(tt)), distances=T.endpoint_distances(tt.distances, tt.rses)
+    )
+    return CA.closeness(_candidates(tt), distances, sources)
 
 
 def _weights(tt: TestTables, level: str, datasets: DataFrame | None = None, **options) -> DataFrame:
     """In the reference the inputs of the scoring are files written by
-    separate jobs; here the two that are read more than once are tables.  A
-    dataset list already restricts the replicas that are written."""
-    reps = materialize(_replicas(tt, datasets).select("scope", "name", "rse", "official", "TB", "available_TB"), "replicas")
-    return SC.rse_weight(_candidates(tt), _distance_table(tt), reps, level=level, **options)
+    separate jobs; here they are tables, written at the same time.  A dataset
+    list already restricts the replicas that are written."""
+    reps, distances, candidates = materialize_all(
+        replicas=_replicas(tt, datasets).select("scope", "name", "rse", "official", "TB", "available_TB"),
+        distances=T.endpoint_distances(tt.distances, tt.rses),
+        candidates=_candidates(tt),
+    )
+    return SC.rse_weight(candidates, distances, reps, level=level, **options)
 
 
 def _wanted(tt: TestTables) -> DataFrame:

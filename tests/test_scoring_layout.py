@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 
 from gridplace.operators import scoring as SC
 from gridplace.operators.scoring_layout import open_scoring_layout, rse_weight_from_layout, write_scoring_layout
+from gridplace.operators.topology import endpoint_distances
 from gridplace.plans import params as P
 from gridplace.plans import registry as R
-from gridplace.session import materialize
+from gridplace.session import materialize, materialize_all
 from gridplace.sources.testdata import TestTables
 from conftest import SF_SMALL
 from test_scoring import CASES, spark_inputs
@@ -16,8 +17,10 @@ from test_scoring import CASES, spark_inputs
 @pytest.fixture(scope="module")
 def inputs(spark):
     tt = TestTables(spark, SF_SMALL)
-    reps = materialize(R._replicas(tt).select("scope", "name", "rse", "official", "TB", "available_TB"), "replicas")
-    return materialize(R._candidates(tt), "candidates"), R._distance_table(tt), reps
+    return materialize_all(
+        candidates=R._candidates(tt), distances=endpoint_distances(tt.distances, tt.rses),
+        replicas=R._replicas(tt).select("scope", "name", "rse", "official", "TB", "available_TB"),
+    )
 
 
 @pytest.fixture(scope="module")
