@@ -18,6 +18,11 @@ partner can be:
    region only members stay that have another in reach by size (distance to
    the empty set) and position; the first member of each run of sizes names
    the region, so the many regions of a group of near copies become one cell.
+   Within a cell a parity sketch of each set - about n / 2 bits, each the
+   parity of the shingles that fall on it - bounds distances from below: every
+   bit in which two sketches differ stands for a difference.  Members without
+   a partner inside the limit leave.  Only then are whole sets fetched, for
+   the few documents left.
 2. *Voronoi regions inside a cell.*  Pivots are chosen farthest first, each
    member's exact distance to each pivot is known, and a member is copied to
    every region whose pivot is nearer than its own pivot's distance + 2e (by
@@ -68,6 +73,9 @@ SKETCH, PARTS = 1 << 20, 64
 SMALL, HOLD = 64, 1 << 20
 MAX_CELL = 4096
 PIVOTS = 8
+#: Classes in cells (about a hundred bytes each) up to which their names are
+#: broadcast to the scan of the texts; beyond, texts meet them by a shuffle.
+FEW = 200_000
 #: Entries of one block of co-occurrence counts.
 BLOCK = 1 << 22
 
@@ -83,10 +91,14 @@ class Limit:
         """Shingles of which a partner must have one."""
         return n - -(-self.p * n // self.q) + 1
 
-    def differences(self, n: np.ndarray) -> np.ndarray:
+    def differences(self, n: int) -> int:
         """Most differences between a set of n and a partner."""
         return n * self.lo // self.p
 
+    def can_link(self, n: int) -> bool:
+        """Whether a set of n and another that differs are ever in reach."""
+        return self.lo * (n + n * self.q // self.p) >= self.hi
+
 
 # ------------------------------------------------------------------ sets
 
@@ -137,16 +149,30 @@ def documents_as_sets(docs: DataFrame, words: int, id_col: str, text_col: str) -
         totals[part] = np.frombuffer(counts, np.int64)
     totals = totals.reshape(-1)
     share = totals / max(1.0, totals.sum() / SKETCH)
-    return found.filter("part IS NULL").drop("part", "counts"), np.log2(np.maximum(share, 1)).astype(np.uint8)
+    return found.filter("part IS NULL").drop("part", "counts"), np.minimum(np.log2(np.maximum(share, 1)), 15).astype(np.uint8)
 
 
 def bucket(shingles: np.ndarray) -> np.ndarray:
     return (shingles >> np.uint64(44)).astype(np.int64)  # the upper 20 bits
 
 
-def in_order(shingles: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    """Rare shingles first; of one class by hash."""
-    return shingles[np.lexsort((shingles, classes[bucket(shingles)]))]
+def codes(shingles: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """Shingles in the common order, rare ones first: class and then hash.
+    Two shingles of one code count as one, which only lowers a bound."""
+    return np.sort((classes[bucket(shingles)].astype(np.uint64) << np.uint64(60)) | (shingles >> np.uint64(4)))
+
+
+def parity(shingles: np.ndarray) -> np.ndarray:
+    """Bits (64 to a word) that tell whether an odd number of shingles falls on them."""
+    bits = 1 << min(16, max(6, (len(shingles) // 2).bit_length()))
+    odd = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.uint64)
+
+
+def folded(words: np.ndarray) -> np.ndarray:
+    """Parity sketches of half as many bits."""
+    half = words.shape[-1] // 2
+    return words[..., :half] ^ words[..., half:]
 
 
 def digest(shingles: np.ndarray) -> bytes:
@@ -159,39 +185,34 @@ def handle(digest: bytes) -> int:
     return int.from_bytes(digest[:8], "little", signed=True)
 
 
-def filed(docs: DataFrame, limit: Limit, classes: np.ndarray, words: int, text_col: str) -> DataFrame:
-    """(region, who, n, at): each set under its first shingles in order."""
+def first_shingles(docs: DataFrame, limit: Limit, classes: np.ndarray, words: int, text_col: str) -> DataFrame:
+    """(who, n, codes, parity): the first shingles in order and the parity
+    sketch of each set that can link with another.  Copies in one task are
+    one row."""
     shared = docs.sparkSession.sparkContext.broadcast(classes)  # SKETCH bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
-        seen: set[int] = set()
+        seen: set[bytes] = set()
         for batch in batches:
             for _, texts in text_slices(batch.column(0), SLICE_BYTES):
-                regions, who, n, at = [np.zeros(0, np.uint64)], [], [], [np.zeros(0, np.int64)]
+                out: list[tuple] = []
                 for t in texts:
                     s = shingler.set_of(t)
-                    name = handle(digest(s))
-                    if not len(s) or name in seen:  # copies in one task are filed once
+                    name = digest(s)
+                    if not limit.can_link(len(s)) or name in seen:
                         continue
                     if len(seen) >= HOLD:
                         seen.clear()
                     seen.add(name)
-                    first = in_order(s, shared.value)[: limit.first(len(s))]
-                    regions.append(first)
-                    at.append(np.arange(len(first)))
-                    who.append((name, len(first)))
-                    n.append((len(s), len(first)))
-                yield file_rows(np.concatenate(regions), who, n, np.concatenate(at))
+                    out.append((handle(name), len(s), codes(s, shared.value)[: limit.first(len(s))], parity(s).tobytes()))
+                if out:
+                    who, n, first, bits = zip(*out)
+                    offsets = pa.array(np.concatenate(([0], np.cumsum([len(f) for f in first]))).astype(np.int32))
+                    listed = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(first).view(np.int64)))
+                    yield pa.RecordBatch.from_arrays([pa.array(who, pa.int64()), pa.array(n, pa.int32()), listed, pa.array(bits, pa.binary())], ["who", "n", "codes", "parity"])
 
-    return map_arrow(docs.select(text_col), run, "region long, who long, n int, at int")
-
-
-def file_rows(regions: np.ndarray, who: list, n: list, at: np.ndarray) -> pa.RecordBatch:
-    spread = lambda pairs, kind: np.repeat(np.array([v for v, _ in pairs], kind), [k for _, k in pairs])
-    return pa.RecordBatch.from_arrays(
-        [pa.array(regions.view(np.int64)), pa.array(spread(who, np.int64)), pa.array(spread(n, np.int32)), pa.array(at.astype(np.int32))], ["region", "who", "n", "at"]
-    )
+    return materialize(map_arrow(docs.select(text_col), run, "who long, n int, codes array<long>, parity binary"), "first_shingles")
 
 
 # --------------------------------------------------------------- regions
@@ -316,6 +337,69 @@ def regions_to_cells(files: DataFrame, limit: Limit, merge: bool, hold: int = HO
     return materialize(map_arrow(dealt, run, "cell long, who long").distinct(), "cells")
 
 
+def within_bound(sketches: list[np.ndarray], n: np.ndarray, limit: Limit) -> tuple[np.ndarray, np.ndarray]:
+    """Members of a cell with a partner whose distance the sketches do not
+    bound beyond the limit, and for each the member that names its part."""
+    m = len(sketches)
+    width = np.array([len(s) for s in sketches])
+    left, right = [], []
+    for w in np.unique(width):
+        mine, wider = np.flatnonzero(width == w), np.flatnonzero(width == 2 * w)
+        rows = np.stack([sketches[i] for i in mine])
+        others, them = rows, mine
+        if len(wider):  # sizes in reach differ by one fold at most
+            others, them = np.concatenate((rows, folded(np.stack([sketches[i] for i in wider])))), np.concatenate((mine, wider))
+        step = max(1, BLOCK // (len(them) * int(w)))
+        for at in range(0, len(mine), step):
+            x = mine[at : at + step]
+            far = np.bitwise_count(rows[at : at + step, None, :] ^ others[None, :, :]).sum(axis=2, dtype=np.int64)
+            a, b = n[x][:, None], n[them][None, :]
+            ok = (limit.hi * far <= limit.lo * (a + b)) & (limit.q * np.minimum(a, b) >= limit.p * np.maximum(a, b)) & (x[:, None] != them[None, :])
+            i, j = np.nonzero(ok)
+            some, roots = forest(m, x[i], them[j])
+            left.append(some)
+            right.append(roots)
+    x, y = np.concatenate(left), np.concatenate(right)
+    kept = np.unique(np.concatenate((x, y)))
+    if not len(kept):
+        return kept, kept
+    some, roots = forest(len(kept), np.searchsorted(kept, x), np.searchsorted(kept, y))
+    name = kept.copy()
+    name[some] = kept[roots]
+    return kept, name
+
+
+def prune_cells(cells: DataFrame, first: DataFrame, limit: Limit, max_cell: int) -> DataFrame:
+    """(cell, who) without the members that no other is near, cut into what
+    the remaining pairs connect.  A cell too large for a task passes."""
+    large = materialize(cells.groupBy("cell").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > max_cell).select("cell"), "crowded_cells")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, members = None, []
+
+        def solve() -> Iterator[pa.RecordBatch]:
+            if len(members) > 1:
+                who = np.array([x[0] for x in members], np.int64)
+                kept, name = within_bound([np.frombuffer(x[2], np.uint64) for x in members], np.array([x[1] for x in members], np.int64), limit)
+                if len(kept):
+                    # a part is named by its cell and its first member
+                    salt = np.uint64(cell * 0x9E3779B97F4A7C15 % (1 << 64))
+                    yield pa.RecordBatch.from_arrays([pa.array((who[name].view(np.uint64) + salt).view(np.int64)), pa.array(who[kept])], ["cell", "who"])
+
+        for batch in batches:
+            for c, *member in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                if c != cell:
+                    yield from solve()
+                    cell, members = c, []
+                if not members or members[-1] != member:  # else a copy from another task
+                    members.append(member)
+        yield from solve()
+
+    sketched = cells.join(large, "cell", "left_anti").join(first.select("who", "n", "parity"), "who").select("cell", "who", "n", "parity")
+    kept = map_arrow(sketched.repartition("cell").sortWithinPartitions("cell", "who", "n", "parity"), run, "cell long, who long")
+    return materialize(kept.unionByName(cells.join(large, "cell", "left_semi")).distinct(), "pruned_cells")
+
+
 # ----------------------------------------------------------------- cells
 
 
@@ -448,8 +532,9 @@ def join_cells(members: DataFrame, limit: Limit) -> DataFrame:
                 if cell.as_py() != name:
                     yield from solve()
                     name, digests, sets = cell.as_py(), [], []
-                digests.append(digest.as_py())
-                sets.append(np.frombuffer(shingles.as_py(), np.uint64))
+                if not digests or digests[-1] != digest.as_py():  # else a repeated row
+                    digests.append(digest.as_py())
+                    sets.append(np.frombuffer(shingles.as_py(), np.uint64))
         yield from solve()
 
     return map_arrow(members.repartition("cell").sortWithinPartitions("cell", "digest"), run, "a binary, b binary")
@@ -481,7 +566,7 @@ def cut_cells(members: DataFrame, limit: Limit, classes: np.ndarray) -> tuple[Da
                 s = np.frombuffer(shingles.as_py(), np.uint64)
                 diff = np.setxor1d(s, core_.values.to_numpy().view(np.uint64))
                 cost = limit.hi * len(diff) - limit.lo * len(s)
-                first = in_order(diff, shared.value)[: int(limit.differences(np.int64(len(s)))) + 1]
+                first = codes(diff, shared.value)[: limit.differences(len(s)) + 1]
                 out.append((cell.as_py(), digest.as_py(), handle(digest.as_py()), len(s), cost, first.view(np.int64)))
             if out:
                 cols = list(zip(*out))
@@ -528,17 +613,21 @@ def jaccard_join(
 
 def class_links(docs: DataFrame, named: DataFrame, limit: Limit, classes: np.ndarray, words: int, id_col: str, text_col: str, max_cell: int) -> DataFrame:
     """(a, b): digests of linked classes, enough to connect what all links connect."""
-    cells = regions_to_cells(filed(docs, limit, classes, words, text_col), limit, merge=True)
+    first = first_shingles(docs, limit, classes, words, text_col)
+    files = first.select(F.posexplode("codes").alias("at", "region"), "who", "n").select("region", "who", "n", "at")
+    cells = prune_cells(regions_to_cells(files, limit, merge=True), first, limit, max_cell)
     sets = materialize(fetch(docs, named, cells, words, id_col, text_col), "sets_in_cells")
     links = None
     while True:
-        members = cells.join(sets, "who").select("cell", "digest", "shingles")
+        # thin rows go to the sets while they are few, so sets are shuffled once
+        meeting = F.broadcast(cells) if cells.count() <= FEW else cells
+        members = sets.join(meeting, "who").select("cell", "digest", "shingles")
         large = materialize(cells.groupBy("cell").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > max_cell).select("cell"), "large_cells")
         found = materialize(join_cells(members.join(large, "cell", "left_anti"), limit), "links")
         links = found if links is None else links.unionByName(found)
         if large.isEmpty():
             return links
-        star, files = cut_cells(materialize(members.join(large, "cell", "left_semi"), "large_members"), limit, classes)
+        star, files = cut_cells(materialize(members.join(large, "cell", "left_semi").dropDuplicates(["cell", "digest"]), "large_members"), limit, classes)
         links = links.unionByName(materialize(star, "links"))
         cells = regions_to_cells(files, limit, merge=False)
 
@@ -548,7 +637,9 @@ def fetch(docs: DataFrame, named: DataFrame, cells: DataFrame, words: int, id_co
     wanted = named.join(cells.select("who").distinct(), "who", "left_semi").select("who", "digest", F.col("least.doc_id").alias("its_id"), F.col("least.key").alias("its_key"))
     rows = docs.select(F.col(id_col).alias("doc_id"), row_key(text_col).alias("key"), F.col(text_col).alias("text"))
     same = F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.col("key") == F.col("its_key"))
-    texts = rows.join(wanted, same).select("who", "digest", "text")
+    wanted = materialize(wanted, "classes_in_cells")
+    few = wanted.count() <= FEW  # from the file footers
+    texts = rows.join(F.broadcast(wanted) if few else wanted, same).select("who", "digest", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
@@ -559,4 +650,4 @@ def fetch(docs: DataFrame, named: DataFrame, cells: DataFrame, words: int, id_co
                 at = pa.array([a + i for i in mine], pa.int64())
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array([sets[i].tobytes() for i in mine], pa.binary())], ["who", "digest", "shingles"])
 
-    return map_arrow(texts, run, "who long, digest binary, shingles binary").dropDuplicates(["digest"])
+    return map_arrow(texts, run, "who long, digest binary, shingles binary")
