@@ -36,6 +36,11 @@ def test_exact_dedup(spark, counters):
     assert sorted(stays, key=str) == sorted(((sha(t), i) for t, i in top.items()), key=str)  # one row each, repeated rows included
 
 
+def test_remaining_digests_are_combined_not_gathered(spark):
+    plan = exact_dedup(frame(spark, hard_rows()))._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "partial_max" in plan
+
+
 def test_exact_dedup_keeps_whole_rows(spark):
     rows = hard_rows()
     docs = frame(spark, rows)

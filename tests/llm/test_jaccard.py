@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from gridplace.llm.jaccard_join import Cell, Limit, jaccard_join, regions_to_cells
+from gridplace.llm.jaccard_join import Cell, Limit, folded, jaccard_join, parity, regions_to_cells, within_bound
 
 
 def all_pairs(rows, p=9, q=10, k=3):
@@ -130,3 +130,35 @@ def test_regions_too_large_to_hold(spark, merge):
         for region_, y, n_, at_ in rows:
             if region == region_ and x != y and 10 * min(n, n_) >= 9 * max(n, n_) and 19 * (at + at_) <= n + n_:
                 assert any({x, y} <= members for members in found.values())
+
+
+def test_parity_sketches_never_lose_a_link():
+    rng = np.random.default_rng(7)
+    limit = Limit(9, 10)
+    sets = []
+    for n in (12, 30, 60, 64, 70, 126, 130, 400, 1000):  # around the sizes at which sketches double
+        base = rng.choice(1 << 62, n, replace=False).astype(np.uint64)
+        for _ in range(12):
+            s = base.copy()
+            k = rng.integers(0, max(2, n // 12))
+            s[rng.choice(n, k, replace=False)] = rng.integers(0, 1 << 62, k).astype(np.uint64)
+            sets.append(np.unique(s[: len(s) - rng.integers(0, 1 + n // 20)]))
+    bits, n = [parity(s) for s in sets], np.array([len(s) for s in sets])
+    for i in range(len(sets)):
+        for j in range(i):
+            a, b = sorted((bits[i], bits[j]), key=len)
+            while len(b) > len(a):
+                b = folded(b)
+            assert np.bitwise_count(a ^ b).sum() <= len(np.setxor1d(sets[i], sets[j]))
+    kept, name = within_bound(bits, n, limit)
+    part = dict(zip(kept.tolist(), name.tolist()))
+    links = [(i, j) for i in range(len(sets)) for j in range(i) if 19 * len(np.setxor1d(sets[i], sets[j])) <= n[i] + n[j]]
+    assert links and all(i in part and part[i] == part.get(j) for i, j in links)
+
+
+def test_strangers_leave_a_cell():
+    rng = np.random.default_rng(8)
+    common = rng.choice(1 << 62, 5, replace=False)
+    sets = [np.unique(np.concatenate((common, rng.choice(1 << 62, 200)))).astype(np.uint64) for _ in range(300)]
+    kept, _ = within_bound([parity(s) for s in sets], np.array([len(s) for s in sets]), Limit(9, 10))
+    assert len(kept) == 0

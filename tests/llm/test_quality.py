@@ -68,6 +68,15 @@ def test_held_out_labels_and_ids_do_not_matter(spark):
     assert bound.bias != a.bias
 
 
+def test_repeated_labelled_ids_give_one_model(spark):
+    """Documents that repeat an id, and repeated labels, in any order."""
+    rows = [(i, f"good text number {i} of {k}" if i % 2 else f"BAD!! BAD!! {i} {k}") for i in range(60) for k in range(3)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(60)] * 2, "doc_id long, quality int, toxic int")
+    a = Q.fit_quality(frame(spark, rows).repartition(5), labels, max_fit=30)
+    b = Q.fit_quality(frame(spark, rows[::-1]).repartition(2), labels, max_fit=30)
+    assert a.bias == b.bias and (a.linear == b.linear).all() and (a.factors == b.factors).all()
+
+
 def test_kept_rows_are_those_predicted_good(spark):
     rows = hard_rows()
     docs = frame(spark, rows)
