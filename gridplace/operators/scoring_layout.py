@@ -12,9 +12,7 @@ The salt splits a source with more than ``pairs_per_bucket`` pairs, so a
 source of a third of all pairs is spread over buckets; a run repeats that
 source's candidate rows once per salt.
 
-A pair's statistics are computed from its own row: its copies meet the
-candidate counts of its source in a map (endpoint -> counts), one per source.
-No join on the dataset and no aggregation of pairs is left.
+The scoring itself is ``scoring.score_pairs``, the same as without a layout.
 """
 
 from __future__ import annotations
@@ -22,21 +20,11 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridplace.operators.replicas import of_datasets
-from gridplace.operators.scoring import (
-    CANDIDATE_METRICS,
-    apply_thresholds,
-    candidate_rows,
-    column,
-    dynamic_copies,
-    row_keys,
-    row_terms,
-    source_statistics,
-    weighted,
-)
+from gridplace.operators.scoring import apply_thresholds, candidate_rows, pair_rows, score_pairs, source_statistics, with_salts
 from gridplace.session import materialize, new_folder
 
 PAIRS_PER_BUCKET = 500_000
@@ -52,23 +40,6 @@ class ScoringLayout:
     buckets: int
 
 
-def dataset_copies(rep: DataFrame) -> DataFrame:
-    """dataset, copies (endpoint -> sizes, one per rule), and their count, sum
-    and range.  ``rep``: dataset, rse, official, TB, available_TB."""
-    held = dynamic_copies(rep).groupBy("dataset", "rse").agg(F.array_sort(F.collect_list("available_TB")).alias("held"))
-    return held.groupBy("dataset").agg(
-        F.array_sort(F.collect_list(F.struct("rse", "held"))).alias("copies"),
-        F.sum(F.size("held")).alias("n_all"),
-        F.sum(_total(F.col("held"))).alias("sum_all"),
-        F.max(F.array_max("held")).alias("high"),
-        F.min(F.array_min("held")).alias("low"),
-    )
-
-
-def _total(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
-
-
 def write_scoring_layout(
     replicas: DataFrame, path: str | None = None, buckets: int | None = None, pairs_per_bucket: int = PAIRS_PER_BUCKET
 ) -> ScoringLayout:
@@ -76,19 +47,15 @@ def write_scoring_layout(
     available_TB) out under ``path`` (by default in the session's folder)."""
     spark = replicas.sparkSession
     rep = replicas.select("scope", "name", F.concat_ws(":", "scope", "name").alias("dataset"), "rse", "official", "TB", "available_TB")
-    off = rep.filter("official")
-    sizes = off.groupBy("dataset").agg(F.min_by("TB", "rse").alias("dataset_size_TB"))
-    pairs = off.select("scope", "name", "dataset", F.col("rse").alias("source_replica")).distinct()
-    full = materialize(pairs.join(sizes, "dataset").join(dataset_copies(rep), "dataset", "left"), "pairs")
+    full = materialize(pair_rows(rep), "pairs")
     load = full.groupBy("source_replica").agg(F.count(F.lit(1)).alias("n"))
     salts = materialize(load.select("source_replica", F.ceil(F.col("n") / pairs_per_bucket).cast("int").alias("salts")), "source_salts")
     if buckets is None:
         buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-full.count() // pairs_per_bucket))
     path = path or new_folder(spark, "scoring_layout")
-    dealt = full.join(salts, "source_replica").withColumn("_salt", F.pmod(F.xxhash64("dataset"), F.col("salts")).cast("int")).drop("salts")
     names = _names()
     (
-        dealt.repartition(buckets, "source_replica", "_salt")  # a task writes its bucket, as one file
+        with_salts(full, salts).repartition(buckets, "source_replica", "_salt")  # a task writes its bucket, as one file
         .write.bucketBy(buckets, "source_replica", "_salt").option("path", f"{path}/pairs").format("parquet").saveAsTable(names[0])
     )
     salts.write.option("path", f"{path}/salts").format("parquet").saveAsTable(names[1])
@@ -109,53 +76,6 @@ def open_scoring_layout(spark: SparkSession, path: str, buckets: int) -> Scoring
     return ScoringLayout(*names, path, buckets)
 
 
-def source_counts(cd: DataFrame) -> DataFrame:
-    """source_replica, per_rse: endpoint -> number of candidate rows, and per
-    metric how many are known and their sum.  As many entries as a source has
-    candidate endpoints."""
-    per_rse = cd.groupBy("source_replica", "rse").agg(
-        F.count(F.lit(1)).alias("k"),
-        F.array(*[F.count(column(c)) for c in CANDIDATE_METRICS]).alias("known"),
-        F.array(*[F.coalesce(F.sum(column(c).cast("double")), F.lit(0.0)) for c in CANDIDATE_METRICS]).alias("sums"),
-    )
-    return per_rse.groupBy("source_replica").agg(F.map_from_entries(F.collect_list(F.struct("rse", F.struct("k", "known", "sums")))).alias("per_rse"))
-
-
-def with_statistics(pairs: DataFrame, level: str) -> DataFrame:
-    """The columns of ``scoring.pair_statistics`` from a pair's own row and
-    its source's counts (``per_rse``, ``n_c`` and ``source_statistics``)."""
-    none = F.create_map().cast("map<string,struct<k:bigint,known:array<bigint>,sums:array<double>>>")
-    pairs = pairs.withColumn("per_rse", F.coalesce("per_rse", none))
-    held = lambda c: c["held"] if level == "queue" else F.array(F.array_max(c["held"]))
-    met = F.filter(F.coalesce("copies", F.array()), lambda c: F.map_contains_key("per_rse", c["rse"]))
-    pairs = pairs.withColumn("met", F.transform(met, lambda c: F.struct(c["rse"].alias("rse"), held(c).alias("held"), F.col("per_rse")[c["rse"]].alias("at"))))
-    size = lambda c: F.size(c["held"])
-    total = lambda f: F.aggregate("met", F.lit(0.0), lambda a, c: a + f(c))
-    extreme = lambda f: F.transform("met", f)
-    known = lambda c: F.coalesce(c, F.lit(0))
-    n_c = known(F.col("n_c"))
-    if level == "queue":
-        n = n_c + total(lambda c: c["at"]["k"] * (size(c) - 1)) + known(F.col("n_all")) - total(size)
-        total_a = known(F.col("sum_all")) + total(lambda c: _total(c["held"]) * (c["at"]["k"] - 1))
-        high, low = F.col("high"), F.col("low")
-    else:
-        n, total_a = n_c, total(lambda c: _total(c["held"]) * c["at"]["k"])
-        high, low = F.array_max(extreme(lambda c: F.array_max(c["held"]))), F.array_min(extreme(lambda c: F.array_min(c["held"])))
-    zero = F.when(n_c > total(lambda c: c["at"]["k"]), F.lit(0.0))
-    again = F.exists("met", lambda c: size(c) > 1)
-    mean = lambda i, c: F.struct(
-        ((F.col(f"s_{c}") + total(lambda x: (size(x) - 1) * x["at"]["sums"][i])) / F.nullif(F.col(f"n_{c}") + total(lambda x: (size(x) - 1) * x["at"]["known"][i]), F.lit(0.0))).alias("mean"),
-        F.col(f"range_{c}").alias("range"),
-    )
-    return pairs.select(
-        "dataset", "source_replica", "_salt", "dataset_size_TB", F.col("copies").alias("all_copies"), "per_rse",
-        (total_a / F.nullif(n.cast("double"), F.lit(0.0))).alias("mean_a"),
-        (F.greatest(high, zero) - F.least(low, zero)).alias("range_a"),
-        F.map_from_entries(F.transform("met", lambda c: F.struct(c["rse"], c["held"]))).alias("copies"),
-        F.when(again, F.array(*[mean(i, c) for i, c in enumerate(CANDIDATE_METRICS)])).alias("means"),
-    )
-
-
 def rse_weight_from_layout(
     layout: ScoringLayout,
     candidates: DataFrame,
@@ -179,16 +99,4 @@ def rse_weight_from_layout(
     cand = apply_thresholds(candidates, thresholds)
     sources = salts.select(F.col("source_replica").alias("rse"), F.lit(True).alias("official"))
     cd = materialize(candidate_rows(cand, distances, sources, level, band), "candidate_rows")
-    stats = source_statistics(cd)
-    spread = salts.select("source_replica", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("_salt"))
-    per_source = spread.join(stats.join(source_counts(cd), "source_replica"), "source_replica")
-    ready = with_statistics(pairs.join(per_source, ["source_replica", "_salt"], "left"), level)
-    rows = spread.join(row_terms(cd, stats, level), "source_replica")
-    alone = None
-    if level == "queue":
-        lone = ready.select("dataset", "source_replica", "dataset_size_TB", "mean_a", "range_a", "per_rse", F.explode("all_copies").alias("copy"))
-        alone = lone.filter(~F.map_contains_key("per_rse", F.col("copy.rse"))).select(
-            "dataset", "source_replica", "dataset_size_TB", "mean_a", "range_a", F.col("copy.rse").alias("rse"), F.explode("copy.held").alias("available_TB")
-        ).withColumn("official", F.lit(False))
-    wide = ready.drop("all_copies", "per_rse").join(rows, ["source_replica", "_salt"])
-    return weighted(wide, alone, level, row_keys(level))
+    return score_pairs(pairs, salts, cd, source_statistics(cd), level)
