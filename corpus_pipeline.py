@@ -26,6 +26,9 @@ from gridplace.llm.simhash import keep_one_of_each_component
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Here the workers share their executors with what earlier stages left in memory.
+ENCODING_STATES = 100_000
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier predicts as good."""
@@ -50,7 +53,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and the digests of the round trip."""
-    return bpe_encode(docs, vocab_path()).drop("decoded")
+    return bpe_encode(docs, vocab_path(), with_decoded=False, max_states=ENCODING_STATES)
 
 
 STAGES: list[tuple[str, Stage]] = [

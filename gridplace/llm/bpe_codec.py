@@ -26,14 +26,14 @@ from gridplace.llm.bpe_pairs import LastTokens, Vocabulary
 from gridplace.llm.common import map_arrow, text_slices
 from gridplace.llm.pretokenize import END_OF_TEXT, CharClasses, code_points, starts
 
-SLICE_CHARS = 1 << 20
+SLICE_CHARS = 1 << 18
 MEMO_WORDS = 300_000
 
 
 class Codec:
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, max_states: int | None = None) -> None:
         self.vocab = Vocabulary(path)
-        self.states = LastTokens(self.vocab, counting=False)
+        self.states = LastTokens(self.vocab, False, max_states)
         self.classes = CharClasses()
         self.end_id = self.vocab.special.get(END_OF_TEXT)
         size = max(self.vocab.bytes_of) + 1
@@ -146,25 +146,32 @@ def ranges(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 @cache
-def codec(path: str) -> Codec:
+def codec(path: str, max_states: int | None = None) -> Codec:
     """One codec per Python worker."""
-    return Codec(path)
+    return Codec(path, max_states)
 
 
-def bpe_encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True) -> DataFrame:
+def bpe_encode(
+    docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True,
+    with_decoded: bool = True, max_states: int | None = None,
+) -> DataFrame:
     """Per document: doc_id, ids (array<int>), n_tokens, ids_sha256 (ids as
     little-endian unsigned 32-bit), decoded (text) and decoded_sha256.
 
-    ``with_ids=False`` leaves ids and decoded out of the rows.  ``vocab_path``
-    must be readable on every executor.  Map-only: no shuffle.
+    ``with_ids=False`` leaves ids and decoded out of the rows,
+    ``with_decoded=False`` only decoded.  ``vocab_path`` must be readable on
+    every executor.  ``max_states``: after how many states a worker forgets
+    them and compiles anew (by default ``bpe_pairs.MAX_STATES``); fewer take
+    less memory and more time.  Map-only: no shuffle.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + (["ids", "decoded"] if with_ids else [])
-    schema = f"doc_id {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>, decoded string" if with_ids else "")
+    with_decoded = with_ids and with_decoded
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids + ["decoded"] * with_decoded
+    schema = f"doc_id {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids + ", decoded string" * with_decoded
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codec(vocab_path)
+        c = codec(vocab_path, max_states)
         for batch in batches:
             for a, texts in text_slices(batch.column(1), SLICE_CHARS):
                 coded = c.encode(texts)
@@ -176,7 +183,9 @@ def bpe_encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_co
                     pa.array([hashlib.sha256(t.encode("utf-8", "replace")).hexdigest() for t in decoded], pa.string()),
                 ]
                 if with_ids:
-                    cols += [pa.array([x.astype(np.int32) for x in coded], pa.list_(pa.int32())), pa.array(decoded, pa.string())]
+                    cols.append(pa.array([x.astype(np.int32) for x in coded], pa.list_(pa.int32())))
+                if with_decoded:
+                    cols.append(pa.array(decoded, pa.string()))
                 yield pa.RecordBatch.from_arrays(cols, names)
 
     return map_arrow(rows, run, schema)

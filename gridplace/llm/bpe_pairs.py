@@ -13,7 +13,7 @@ from __future__ import annotations
 import json
 
 MEMO_PAIRS = 1_000_000
-#: About a kilobyte each.
+#: About 600 bytes each.
 MAX_STATES = 250_000
 NEVER = 1 << 60
 
@@ -45,7 +45,7 @@ class Vocabulary:
         merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         self.rank = {(names[a], names[b]): rank for rank, (a, b) in enumerate(merges)}
         self.halves = {names[a + b]: (rank, names[a], names[b]) for rank, (a, b) in enumerate(merges)}
-        self.prefixes = {t[:k] for t in self.ids for k in range(1, len(t) + 1)}
+        self.prefixes = {t[:k]: t[:k] for t in self.ids for k in range(1, len(t) + 1)}  # to itself, so that equal ones are one object
         self._pairs: dict[tuple[int, int], bool] = {}
         self._edges: tuple[dict, dict] = ({}, {})
 
@@ -90,21 +90,23 @@ class LastTokens:
     begins a vocabulary entry and, for each position in it, the last token of
     the prefix ending there.  With ``counting`` a state also has the token
     counts of those prefixes relative to the current one, and a transition
-    emits the change of the count.
+    emits the change of the count.  States share their suffixes and the entries
+    of their windows.
     """
 
-    def __init__(self, vocab: Vocabulary, counting: bool) -> None:
-        self.vocab, self.counting = vocab, counting
+    def __init__(self, vocab: Vocabulary, counting: bool, max_states: int | None = None) -> None:
+        self.vocab, self.counting, self.max_states = vocab, counting, max_states
         self.forget()
 
     def forget(self) -> None:
         start = (b"", ((-1, 0),))
+        self.entries: dict[tuple[int, int], tuple[int, int]] = {}
         self.states: list[tuple[bytes, tuple]] = [start]
         self.number: dict[tuple, int] = {start: 0}
         self.moves: list[dict[int, tuple[int, int]]] = [{}]
 
     def full(self) -> bool:
-        return len(self.states) > MAX_STATES
+        return len(self.states) > (self.max_states or MAX_STATES)
 
     def last(self, state: int) -> int:
         return self.states[state][1][-1][0]
@@ -126,7 +128,12 @@ class LastTokens:
         drop = 0
         while read[drop:] not in vocab.prefixes:
             drop += 1
-        key = (read[drop:], tuple((t, c - emitted) for t, c in window[drop:]) + ((token, 0),))
+        shared = self.entries.setdefault
+        kept = window[drop:]
+        if emitted:
+            kept = tuple([shared(e, e) for e in [(t, c - emitted) for t, c in kept]])
+        end = (token, 0)
+        key = (vocab.prefixes[read[drop:]], (*kept, shared(end, end)))
         target = self.number.get(key)
         if target is None:
             target = self.number[key] = len(self.states)

@@ -75,6 +75,30 @@ def test_bounded_memories_change_nothing(texts, expected, monkeypatch):
         assert tok.count(texts[i : i + 50]) == [len(e) for e in expected[i : i + 50]]
 
 
+def test_states_are_bounded_and_share_what_they_hold(texts, expected):
+    codec = Codec(PATH, max_states=50)
+    sizes = []
+    for i in range(0, 300, 10):
+        assert [c.tolist() for c in codec.encode(texts[i : i + 10])] == expected[i : i + 10]
+        sizes.append(len(codec.states.states))
+    assert any(b < a for a, b in zip(sizes, sizes[1:]))  # forgotten, although far below MAX_STATES
+    for counting in (False, True):
+        states = Codec(PATH).states if not counting else Tokenizer(PATH).words.states
+        state = 0
+        for byte in " counting the tokens of this sentence, and of that sentence".encode() * 3:
+            state = states.move(state, byte)[0]
+        for pick in (lambda s: [s[0]], lambda s: s[1]):
+            held = [x for s in states.states for x in pick(s)]
+            assert len({id(x) for x in held}) == len(set(held))
+
+
+def test_decoded_texts_can_be_left_out(spark, texts):
+    df = frame(spark, list(enumerate(texts[:50])))
+    whole, less = bpe_encode(df, PATH), bpe_encode(df, PATH, with_decoded=False, max_states=30)
+    assert less.columns == [c for c in whole.columns if c != "decoded"]
+    assert by_id((r.doc_id, tuple(r.ids), r.decoded_sha256) for r in less.collect()) == by_id((r.doc_id, tuple(r.ids), r.decoded_sha256) for r in whole.collect())
+
+
 def test_queries_on_hard_rows(spark, library):
     rows = hard_rows()
     ids = [library.encode(t or "", add_special_tokens=False).ids for _, t in rows]
